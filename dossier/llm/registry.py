@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import langid, license_scan, packing
+from . import bpe, langid, license_scan, minhash, packing, substring
 
-_MODULES = (license_scan, langid, packing)
+_MODULES = (license_scan, bpe, minhash, substring, langid, packing)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
