@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, license_scan, minhash, packing, substring
+from . import bpe, langid, license_scan, metric_join, minhash, packing, substring, topk_bsi
 
-_MODULES = (license_scan, bpe, minhash, substring, langid, packing)
+_MODULES = (topk_bsi, license_scan, bpe, minhash, metric_join, substring, langid, packing)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
