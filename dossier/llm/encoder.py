@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import regex
@@ -93,10 +94,13 @@ class Encoder:
         cache = self.cache
         if len(cache) > CACHE:
             cache.clear()
-        if new := list({w for w in words if w not in cache}):
+        out = list(map(cache.get, words))
+        if None in out:
+            new = list({w for w, got in zip(words, out, strict=True) if got is None})
             for w, ids in zip(new, self.encode_words(new), strict=True):
-                cache[w] = b"".join(i.to_bytes(4, "little") for i in ids)
-        return [cache[w] for w in words]
+                cache[w] = array("I", ids).tobytes()
+            out = list(map(cache.__getitem__, words))
+        return out
 
     def ids(self, text: str | None) -> bytes:
         return b"".join(self.word_bytes(self.words(text))) if text else b""
