@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,6 +160,18 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     return out.select("doc_id", (common.fold() == 0).alias("held_out"), "lang_pred", "score")
 
 
+def known_only(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
+    """The rows of docs, all columns, whose language isn't `und`."""
+    model_ref = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+
+    def keep(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            yield batch.filter(pa.array([model_ref.value.predict(t)[0] != UNKNOWN for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(common.table(spark, sf_dir, "documents"))
 
