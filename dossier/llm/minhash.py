@@ -96,6 +96,8 @@ class Shelf:
 
 
 def _split(codes: np.ndarray, bits: int):
+    if not len(codes):
+        return
     bucket = (codes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(codes), np.int64)
     cut = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(codes)], strict=True):
