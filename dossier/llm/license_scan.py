@@ -143,7 +143,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
             near = np.flatnonzero(np.isin(hashes, join.probe))
             owners = np.searchsorted(first, near, "right") - 1
             met, cut = {}, np.flatnonzero(np.diff(owners, prepend=-1))
-            for a, b in zip(cut, [*cut[1:], len(near)], strict=True):
+            for a, b in zip(cut, np.append(cut[1:], len(near))[: len(cut)], strict=True):
                 o = int(owners[a])
                 met[o] = join.blocks(hashes[first[o] : first[o + 1]], near[a:b] - first[o])
             rows = []
