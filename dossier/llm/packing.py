@@ -119,8 +119,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
         before.append((length, salt, counts.get(length, 0)))
         counts[length] = counts.get(length, 0) + n
     spark = docs.sparkSession
-    base = spark.createDataFrame(pd.DataFrame(before or None, columns=["length", "salt", "before"]).astype("int64"))
-    slots = spark.createDataFrame(pd.DataFrame(plan(counts, capacity), columns=["length", "rank0", "n", "bin0", "per", "at"]).astype("int64"))
+    base = spark.createDataFrame(before, "length long, salt long, before long")
+    slots = spark.createDataFrame(plan(counts, capacity), "length long, rank0 long, n long, bin0 long, per long, at long")
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = cut.withColumn("r", F.row_number().over(order) - 1).join(F.broadcast(base), ["length", "salt"]).withColumn("rank", F.col("r") + F.col("before"))
     placed = ranked.join(F.broadcast(slots), "length").where((F.col("rank") >= F.col("rank0")) & (F.col("rank") < F.col("rank0") + F.col("n")))
