@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .queries import documents, pages, tables
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").count()
+_MODULES = (pages, documents, tables)
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
+FLAGSHIP = pages.page_selection
