@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from .. import lexicons as lx
 
@@ -321,7 +322,7 @@ def overlap(a: Column, b: Column) -> Column:
 # --- Messages -------------------------------------------------------------------------------------------------------------------
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def split_bytes(texts: pd.Series, limits: pd.Series) -> pd.Series:
     """Pieces of at most so many UTF-8 bytes, cut between characters."""
 

@@ -7,6 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import lexicons as lx
 from .text import blank, col, first_text, squeeze, trim
@@ -147,7 +148,7 @@ def last_segment(c: Column | str, under: str = "articles|read") -> Column:
     return F.regexp_extract(Url(c).path, rf"(?:^|/)(?:{under})/([^/]+)/?$", 1)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _resolve(hrefs: pd.Series, bases: pd.Series) -> pd.Series:
     def one(href: str | None, base: str | None) -> str:
         try:
