@@ -21,6 +21,8 @@ from .encoder import BYTE_FILE, encoder, vocabulary_path
 from .shelves import expand, squeeze
 from .wordhash import encode, from_planes, planes
 
+#: Larger shelves here: a word travels once for each shelf it stands in.
+SHELF_BYTES = 8 << 20
 #: Between words; no UTF-8 text holds this byte.
 _STOP = b"\xff"
 
@@ -50,15 +52,11 @@ def _word_ids(shelved: DataFrame, path: str, bits: int) -> DataFrame:
         e = encoder(path)
         lists = [expand(x).split(_STOP) for x in pdf["words"]]
         distinct = sorted(set().union(*lists))
-        known: dict[bytes, np.ndarray] = {}
-        for i in range(0, len(distinct), 4096):
-            part = distinct[i : i + 4096]
-            for w, ids in zip(part, e.encode_words([w.decode("utf-8", "surrogatepass") for w in part]), strict=True):
-                known[w] = np.array(ids, np.uint32)
+        known = dict(zip(distinct, e.encode_bytes([w.decode("utf-8", "surrogatepass") for w in distinct]), strict=True))
         rows = []
         for shelf, bucket, words in zip(pdf["shelf"].tolist(), pdf["bucket"].tolist(), lists, strict=True):
             got = [known[w] for w in words]
-            rows.append((shelf, bucket, squeeze(planes(np.array([len(g) for g in got], np.uint32))), squeeze(planes(np.concatenate(got) if got else np.zeros(0, np.uint32)))))
+            rows.append((shelf, bucket, squeeze(planes(np.array([len(g) // 4 for g in got], np.uint32))), squeeze(planes(np.frombuffer(b"".join(got), "<u4")))))
         return pd.DataFrame(rows, columns=["shelf", "bucket", "n_ids", "word_ids"])
 
     sent = shelved.mapInPandas(send, "shelf long, bucket int, words binary")
@@ -94,7 +92,7 @@ def _joined(shelved: DataFrame, word_ids: DataFrame, path: str, bits: int, finis
     return left.cogroup(word_ids.groupBy("shelf")).applyInPandas(join, schema)
 
 
-def round_trip(docs: DataFrame, path: str | None = None, shelf_bytes: int = shelves.SHELF_BYTES) -> DataFrame:
+def round_trip(docs: DataFrame, path: str | None = None, shelf_bytes: int = SHELF_BYTES) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row.
 
     Null and empty texts have no ids; both hashes are then those of nothing. A special token's string in a text becomes
@@ -117,7 +115,7 @@ def round_trip(docs: DataFrame, path: str | None = None, shelf_bytes: int = shel
     return _joined(shelved, _word_ids(shelved, path, bits), path, bits, finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, shelf_bytes: int = shelves.SHELF_BYTES) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str | None = None, shelf_bytes: int = SHELF_BYTES) -> DataFrame:
     """(doc_id, ids array<int>) of every row; nulls as in round_trip()."""
     path = path or vocabulary_path(BYTE_FILE)
     bits = shelves.buckets(common.text_bytes(docs))
