@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import pickle
 import zlib
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,22 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return int(docs.agg(F.coalesce(F.sum(F.octet_length(column).cast("long")), F.lit(0)).alias("n")).first()["n"])
 
 
+def trained(sample: DataFrame, fit, order: list[str]):
+    """fit(columns by name) on a bounded sample, run in one task: neither the sample nor what training needs is held by the driver, which gets the model only.
+
+    Rows are put in the given order first, so the same sample gives the same model however it arrives.
+    """
+
+    def run(batches):
+        parts = [pdf for pdf in batches if len(pdf)]
+        pdf = pd.concat(parts).sort_values(order, kind="stable") if parts else pd.DataFrame({c: [] for c in columns})
+        yield pd.DataFrame({"model": [pickle.dumps(fit({c: pdf[c].tolist() for c in columns}))]})
+
+    columns = sample.columns
+    got = sample.repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit({c: [] for c in columns})
+
+
 def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from . import common
 from .wordhash import _LOWER, encode
 
-DIMS = 1 << 13
+DIMS = 1 << 12
 #: Bound of the training sample: documents of each language, and languages.
-PER_LANGUAGE, LANGUAGES = 600, 200
+PER_LANGUAGE, LANGUAGES = 400, 200
 UNKNOWN = "und"
 #: Families by language code; other codes are a family of their own.
 FAMILIES = {
@@ -46,7 +46,7 @@ def grams(text: str) -> np.ndarray:
     """Hashed byte 3-grams of a text, a blank at either end."""
     b = _LOWER[np.frombuffer(b" " + encode(text) + b" ", np.uint8)].astype(np.uint32)
     h = (b[:-2] * np.uint32(0x1F123BB5) ^ b[1:-1] * np.uint32(0x85EBCA6B) ^ b[2:] * np.uint32(0xC2B2AE35)) if len(b) > 2 else np.zeros(0, np.uint32)
-    return (h * np.uint32(0x9E3779B1)) >> np.uint32(32 - 13)
+    return (h * np.uint32(0x9E3779B1)) >> np.uint32(32 - 12)
 
 
 def features(text: str) -> np.ndarray:
@@ -132,13 +132,16 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
         return LanguageModel.train([], [])
     share = F.create_map(*(F.lit(v) for k, c in n.items() for v in (k, min(1.0, 1.1 * per_language / c))))
     picked = usable.where(F.col("lang").isin(list(n)) & common.sample_share(share[F.col("lang")], "doc_id"))
-    rows = sorted(((r["lang"], r["doc_id"] or 0, r["text"]) for r in picked.collect()), key=lambda r: r[:2])
-    kept, seen = [], dict.fromkeys(n, 0)
-    for lang, _, text in rows:
-        if _LETTER.search(text) and seen[lang] < per_language:
-            seen[lang] += 1
-            kept.append((text, lang))
-    return LanguageModel.train([t for t, _ in kept], [k for _, k in kept])
+
+    def fit(rows: dict[str, list]) -> LanguageModel:
+        kept, seen = [], dict.fromkeys(rows["lang"], 0)
+        for lang, text in zip(rows["lang"], rows["text"], strict=True):
+            if _LETTER.search(text) and seen[lang] < per_language:
+                seen[lang] += 1
+                kept.append((text, lang))
+        return LanguageModel.train([t for t, _ in kept], [k for _, k in kept])
+
+    return common.trained(picked.select("doc_id", "text", "lang"), fit, ["lang", "doc_id", "text"])
 
 
 def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:

@@ -25,6 +25,10 @@ from .wordhash import _LOWER, NOT_WORD, batches, hash_spans, mix, spans
 WINDOW, STRIDE = 32, 16
 #: Bound of the training sample, for each label.
 PER_LABEL = 900
+#: Passes over the sample, and steps at least; a step takes 64 documents.
+ROUNDS, STEPS = 5, 140
+#: Words and n-grams of fewer documents of the sample have no vector, so nothing is learned by heart.
+LEAST = 5
 WORD_BITS, GRAM_BITS, DIM, HIDDEN = 15, 16, 8, 8
 _GRAMS = (4, 5)
 
@@ -104,6 +108,21 @@ class Network:
         self.line = (1.0, 0.0)
         self.fitted = False
         self._mean: dict[str, np.ndarray] = {}
+        self._known: dict[str, np.ndarray] = {}
+
+    def keep_known(self, groups: list[Words]) -> None:
+        """Only places that LEAST documents of the sample use keep a vector."""
+        n = {"word": np.zeros(1 << WORD_BITS, np.int64), "gram": np.zeros(1 << GRAM_BITS, np.int64)}
+        for w in groups:
+            for a, b in zip(w.first[:-1], w.first[1:], strict=True):
+                kinds = np.unique(w.kind[a:b])
+                n["word"][np.unique(w.word[kinds])] += 1
+                grams = [w.gram[w.gram_first[k] : w.gram_first[k + 1]] for k in kinds]
+                if grams:
+                    n["gram"][np.unique(np.concatenate(grams))] += 1
+        for name, count in n.items():
+            self._known[name] = count >= LEAST
+            self.p[name][~self._known[name]] = 0
 
     def inputs(self, w: Words) -> np.ndarray:
         """A row for each kind of word, and one of zeros for places beyond a text's end."""
@@ -188,9 +207,10 @@ class Network:
         dx = dx[:-1]
         many = np.diff(w.gram_first)
         for name, at, value in (("word", w.word, dx[:, :DIM]), ("gram", w.gram, np.repeat(dx[:, DIM:] / many[:, None], many, axis=0) if len(many) else dx[:, DIM:])):
-            rows, place = np.unique(at, return_inverse=True)
+            known = self._known[name][at]
+            rows, place = np.unique(at[known], return_inverse=True)
             total = np.zeros((len(rows), DIM), np.float32)
-            np.add.at(total, place, value)
+            np.add.at(total, place, value[known])
             past = self._mean.setdefault(name, np.zeros_like(p[name]))
             past[rows] += total**2
             p[name][rows] -= (rate * total / (np.sqrt(past[rows]) + 1e-6)).astype(np.float32)
@@ -211,7 +231,7 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(slope * self.worst(texts).astype(np.float64) + shift, -40, 40)))
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 5, seed: int = 5) -> Network:
+def fit(texts: list[str], labels: list[int], seed: int = 5) -> Network:
     """Trained on these texts; without both labels, a network whose scores are all 0."""
     net, rng, y = Network(), np.random.default_rng(seed), np.array(labels, np.float32)
     if len(set(labels)) < 2:
@@ -223,6 +243,8 @@ def fit(texts: list[str], labels: list[int], rounds: int = 5, seed: int = 5) ->
         at = order[i : i + 64]
         w = Words.of([texts[k].encode("utf-8", "surrogatepass") for k in at])
         groups.append((w, *w.windows(), y[at]))
+    net.keep_known([g[0] for g in groups])
+    rounds = max(ROUNDS, common.ceil_div(STEPS, max(1, len(groups))))
     for r in range(rounds):
         for k in rng.permutation(len(groups)):
             w, text, ids, target = groups[k]
@@ -240,7 +262,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 5, seed: int = 5) ->
                 pick = pick[nth < np.where(target[text[pick]] > 0, 1, 3)]
             goal = target[text[pick]]
             each = np.array([share[float(v)] for v in goal], np.float32) / len(pick)
-            net.step(w, ids[pick], goal, each, rate=0.15 if r < 3 else 0.05)
+            net.step(w, ids[pick], goal, each, rate=0.15 if r < 0.6 * rounds else 0.05)
     worst = net.worst(texts).astype(np.float64)
     slope, shift = 1.0, 0.0
     for _ in range(300):  # logistic regression on the highest logit, labels weighted alike
@@ -248,7 +270,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 5, seed: int = 5) ->
         e = (p - y) * np.where(y > 0, share[1.0], share[0.0]) / len(y)
         slope, shift = slope - 0.3 * float((e * worst).sum()), shift - 0.3 * float(e.sum())
     net.line, net.fitted = (max(slope, 1e-3), shift), True
-    net._mean = {}
+    net._mean, net._known = {}, {}
     return net
 
 
@@ -258,9 +280,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Net
     n = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, per_label / max(1, n.get(1, 0)))).otherwise(min(1.0, per_label / max(1, n.get(0, 0))))
     picked = usable.where(common.sample_share(share, "doc_id"))  # 2 * per_label rows, a little more or less
-    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
+    sample = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")
+    return common.trained(sample, lambda rows: fit(rows["text"], rows["toxic"]), ["doc_id", "text"])
 
 
 def score(docs: DataFrame, labels: DataFrame | None = None, network: Network | None = None) -> DataFrame:
