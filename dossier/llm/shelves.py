@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .wordhash import encode
 
-SHELF_BYTES = 8 << 20
+SHELF_BYTES = 4 << 20
 _NULL = -1
 
 
