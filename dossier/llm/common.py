@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import pickle
 import zlib
@@ -25,7 +26,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
             folder = tempfile.mkdtemp(prefix="dossier-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    out = df.checkpoint()
+    release(df.sparkSession)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files and broadcasts that nothing refers to any more.
+
+    Spark does so once the driver's garbage collector has met the dead reference, by itself every 30 minutes or when the
+    heap is full; until then all that earlier steps shuffled stays on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

@@ -8,8 +8,10 @@ minhashes instead of 2 * HALVES * HALVES * WIDTH. At a similarity s two document
 Documents with equal shingle sets are one class and take part once. Documents are packed in shelves; a shelf first sends
 only the sorted hashes of its table keys, so keys that nobody else has go no further. Then each table's smallest document
 is compared with the others on full sets; components follow from the links found. Last, in each table that still holds
-different components, documents outside its largest component are compared with all those of other components, so that
-no candidate pair goes untested unless both ends are joined already.
+different components, documents outside its largest component meet all those of other components, so that no candidate
+pair goes untested unless both ends are joined already. There the join itself drops pairs that cannot be alike enough:
+each set has a parity bitmap of its shingles, and two sets differ in at least as many shingles as their bitmaps do in
+bits. That bound is exact, so it only keeps pairs of unlike texts from becoming rows.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from .wordhash import SPACE, member, mix, pack_sorted, run_hashes, run_starts, u
 
 SHINGLE, PERCENT = 5, 80
 HALVES, WIDTH = 12, 3
+#: 64-bit words of a set's parity bitmap.
+SKETCH = 8
 _RNG = np.random.Generator(np.random.PCG64(77))
 _TIMES = _RNG.integers(1, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -95,6 +99,12 @@ class Shelf:
         np.cumsum(self.size[self.lead], out=self.first[1:])
 
 
+def sketch(value: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles at each bit; the bit is taken from the shingle's hash."""
+    odd = np.bincount((mix(value) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _split(codes: np.ndarray, bits: int):
     if not len(codes):
         return
@@ -129,34 +139,42 @@ def _shared_keys(shelved: DataFrame, shingle: int, halves: int, width: int, bits
 
 
 def _signed(shelved: DataFrame, shared: DataFrame, shingle: int, halves: int, width: int) -> DataFrame:
-    """(doc_id, n_shingles, h1, keys, shingles) of every document; the last two only for the first of its class in a shelf, if it shares a key."""
+    """(doc_id, n_shingles, h1, keys, shingles, bits) of every document; the last three only for the first of its class in a shelf, if it shares a key."""
 
     def last(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(expand(x)) for x in right["codes"])]))
-        rows = []
+        rows: list[tuple] = []
         for ids, texts in shelves.each(left):
             s = Shelf(ids, texts, shingle)
             keys: list = [None] * len(ids)
             sets: list = [None] * len(ids)
+            bits: list = [None] * len(ids)
             table = table_keys(s.value, s.first, halves, width)
             hit = member(table.ravel(), known).reshape(table.shape)
             for k, i in enumerate(s.lead.tolist()):
                 if hit[k].any():
                     keys[i] = np.unique(table[k][hit[k]]).view(np.int64)
-                    sets[i] = pack_sorted(s.value[s.first[k] : s.first[k + 1]])
-            rows += zip(ids, s.size.tolist(), s.set_hash.tolist(), keys, sets, strict=True)
-        out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "keys", "shingles"])
+                    own = s.value[s.first[k] : s.first[k + 1]]
+                    sets[i], bits[i] = pack_sorted(own), sketch(own)
+            rows += zip(ids, s.size.tolist(), s.set_hash.tolist(), keys, sets, bits, strict=True)
+        out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "keys", "shingles", "bits"])
         return out.astype({"doc_id": "Int64"})
 
-    return shelved.groupBy("shelf").cogroup(shared.groupBy("shelf")).applyInPandas(last, "doc_id long, n_shingles long, h1 long, keys array<long>, shingles binary")
+    return shelved.groupBy("shelf").cogroup(shared.groupBy("shelf")).applyInPandas(last, "doc_id long, n_shingles long, h1 long, keys array<long>, shingles binary, bits array<long>")
 
 
 def _alike_sizes(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _alike_sketches(a: Column, b: Column, sizes: Column, percent: int) -> Column:
+    """False only for sets that differ in more shingles than two sets of that size together may: (100 - percent) / (100 + percent) of it."""
+    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, SKETCH)), F.bit_count(a[0].bitwiseXOR(b[0])))
+    return differ * (100 + percent) <= sizes * (100 - percent)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of pairs (a, b) whose full sets are alike enough."""
+    """(p, q) of those rows of (a, b, p, q) where the full sets of a and b are alike enough."""
 
     def verify(batches):
         for pdf in batches:
@@ -168,11 +186,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 left, right = cache[a], unpack_sorted(y)
                 both = int(member(right, left).sum())
                 keep[k] = 100 * both >= percent * (len(left) + len(right) - both)
-            yield pdf.loc[keep, ["a", "b"]]
+            yield pdf.loc[keep, ["p", "q"]]
 
     with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     with_a = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    return with_a.select("a", "b", "x", "y").mapInPandas(verify, "a long, b long")
+    return with_a.select("a", "p", "q", "x", "y").mapInPandas(verify, "p long, q long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, width: int = WIDTH, shelf_bytes: int = shelves.SHELF_BYTES) -> DataFrame:
@@ -189,30 +207,35 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     # a class is known by its set's hash; rows of equal sets are equal for all that follows
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("h1").agg(F.min("doc_id").alias("rep"))
-    leads = signed.where("keys is not null").join(classes, "h1").where(F.col("doc_id") == F.col("rep")).select(F.col("h1").alias("node"), "n_shingles", "keys", "shingles").dropDuplicates(["node"])
+    leads = signed.where("keys is not null").join(classes, "h1").where(F.col("doc_id") == F.col("rep"))
+    leads = common.checkpointed(leads.select(F.col("h1").alias("node"), "n_shingles", "keys", "shingles", "bits").dropDuplicates(["node"]))
     sets = leads.select("node", "shingles")
     keyed = leads.select(F.explode("keys").alias("key"), F.col("node").alias("b"), F.col("n_shingles").alias("n_b"))
 
     center = keyed.groupBy("key").agg(F.min(F.struct("b", "n_b")).alias("c"), F.count("*").alias("n")).where("n > 1")
     starred = keyed.join(center, "key").where((F.col("c.b") != F.col("b")) & _alike_sizes(F.col("c.n_b"), F.col("n_b"), percent))
-    pairs = common.checkpointed(starred.select(F.col("c.b").alias("a"), "b").distinct())
-    links = common.checkpointed(_confirmed(pairs, sets, percent))
-    joined = components(links)
+    pairs = starred.select(F.col("c.b").alias("a"), "b").distinct()
+    joined = components(_confirmed(pairs.select("a", "b", F.col("a").alias("p"), F.col("b").alias("q")), sets, percent), "p", "q")
 
     # what the stars left open: tables that hold more than one component
     labelled = keyed.join(joined.withColumnRenamed("id", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
     sized = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = sized.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n_components")).where("n_components > 1")
     open_rows = common.checkpointed(labelled.join(mixed.select("key", "main"), "key"))
-    stray = open_rows.where(F.col("component") != F.col("main")).select("key", F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("component").alias("component_a"))
-    across = open_rows.join(stray, "key").where((F.col("component") != F.col("component_a")) & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b"))) & _alike_sizes(F.col("n_a"), F.col("n_b"), percent))
-    more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    found = _confirmed(more, sets, percent)
-    # links inside the components known so far are replaced by one link to the component, so little is left to do
-    joined_all = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found))
-
-    nodes = classes.join(joined_all.withColumnRenamed("id", "h1"), "h1", "left").withColumn("component", F.coalesce("component", "h1"))
+    both = open_rows.join(leads.select(F.col("node").alias("b"), "bits"), "b")
+    stray = both.where(F.col("component") != F.col("main")).select("key", F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("component").alias("component_a"), F.col("bits").alias("bits_a"))
+    across = both.join(stray, "key").where(
+        (F.col("component") != F.col("component_a"))
+        & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
+        & _alike_sizes(F.col("n_a"), F.col("n_b"), percent)
+        & _alike_sketches(F.col("bits_a"), F.col("bits"), F.col("n_a") + F.col("n_b"), percent)
+    )
+    more = across.select("a", "b", F.col("component_a").alias("p"), F.col("component").alias("q")).distinct()
+    # links between components, so what is left to join is small
+    merged = components(_confirmed(more, sets, percent), "p", "q")
+
+    first = classes.join(joined.withColumnRenamed("id", "h1"), "h1", "left").withColumn("before", F.coalesce("component", "h1")).drop("component")
+    nodes = first.join(merged.withColumnRenamed("id", "before"), "before", "left").withColumn("component", F.coalesce("component", "before"))
     least = nodes.groupBy("component").agg(F.min("rep").alias("of_class"))
     out = signed.select("doc_id", "n_shingles", "h1").join(nodes.join(least, "component").select("h1", "of_class"), "h1", "left")
     linked = F.when(F.col("n_shingles") > 0, F.col("of_class"))

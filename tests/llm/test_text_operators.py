@@ -170,6 +170,16 @@ def test_near_duplicates(spark, docs, odd, empty):
     assert by[1]["n_shingles"] == by[7]["n_shingles"] == 0 and by[6]["n_shingles"] == 1
 
 
+def test_sketch_bound_is_exact():
+    """Bitmaps never differ in more bits than the sets differ in shingles, so no pair that is alike enough is dropped."""
+    rng = np.random.default_rng(3)
+    for n, changed in [(1, 0), (1, 1), (9, 1), (200, 22), (200, 80), (5000, 300)]:
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**63, changed, dtype=np.uint64)]))
+        bits = int(np.unpackbits((minhash.sketch(a) ^ minhash.sketch(b)).view(np.uint8)).sum())
+        assert len(minhash.sketch(a)) == minhash.SKETCH and bits <= len(np.setxor1d(a, b))
+
+
 def test_repeated_windows(spark, docs, odd, empty):
     rng = random.Random(2)
     passage = [f"p{i}" for i in range(60)]
