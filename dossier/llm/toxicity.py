@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over word and character inputs, in numpy.
 
 A word's input is its own vector (hashed) beside the mean of the vectors of its character n-grams (hashed as well), so forms
-that weren't seen are judged by their letters. Windows of WINDOW words, each beginning STRIDE words after the one before,
+that weren't seen are judged by their letters. Long words are read piece by piece with all their n-grams. Windows of WINDOW words, each beginning STRIDE words after the one before,
 cover every text. Two gated recurrent units read a window from both ends; attention weighs their states into one
 vector, a linear layer gives the window's logit. A document's score is the logistic of a line fitted to its highest logit.
 
@@ -31,6 +31,19 @@ ROUNDS, STEPS = 5, 140
 LEAST = 5
 WORD_BITS, GRAM_BITS, DIM, HIDDEN = 15, 16, 8, 8
 _GRAMS = (4, 5)
+#: Words of more than WHOLE bytes, as in text without spaces, are read as pieces of PIECE bytes, each an input of its own.
+WHOLE, PIECE = 64, 32
+#: Texts of more bytes are scored in stretches.
+LONG = 2 << 20
+
+
+def _pieces(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of these words, and which pieces go on with a word; those begin early enough that no n-gram is lost between two."""
+    n = np.where(ends - starts > WHOLE, -(-(ends - starts) // PIECE), 1)
+    word = np.repeat(np.arange(len(n)), n)
+    nth = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+    begin, later = starts[word] + nth * PIECE, nth > 0
+    return begin - np.where(later, max(_GRAMS) - 1, 0), np.where(n[word] > 1, np.minimum(begin + PIECE, ends[word]), ends[word]), later
 
 
 @dataclass
@@ -46,19 +59,33 @@ class Words:
     @staticmethod
     def of(part: list[bytes]) -> Words:
         buf = _LOWER[np.frombuffer(b" ".join(part) + b" ", np.uint8)]
-        starts, ends = spans(buf, NOT_WORD)
-        hashes = hash_spans(buf, starts, ends)
         at = np.zeros(len(part) + 1, np.int64)
         np.cumsum([len(x) + 1 for x in part], out=at[1:])
+        starts, ends, later = _pieces(*spans(buf, NOT_WORD))
+        return Words._of(buf, starts, ends, later, np.searchsorted(starts, at))
+
+    @staticmethod
+    def stretches(text: bytes, n: int = 1 << 15):
+        """The words of one long text, so many at once, with exactly the windows that the whole text has."""
+        buf = _LOWER[np.frombuffer(text + b" ", np.uint8)]
+        starts, ends, later = _pieces(*spans(buf, NOT_WORD))
+        for lo in range(0, max(1, len(starts) - (WINDOW - STRIDE)), n):
+            to = slice(lo, lo + n + WINDOW - STRIDE)
+            yield Words._of(buf, starts[to], ends[to], later[to], np.array([0, len(starts[to])]))
+
+    @staticmethod
+    def _of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, later: np.ndarray, first: np.ndarray) -> Words:
+        hashes = hash_spans(buf, starts, ends)
+        hashes[later] = mix(hashes[later] + np.uint64(1))  # it has other n-grams than a word of the same bytes
         distinct, where, kind = np.unique(hashes, return_index=True, return_inverse=True)
-        s, e = starts[where], np.minimum(ends[where], starts[where] + 64)  # the n-grams of a word's first 64 bytes
-        size = e - s + 1
+        s, e, mark = starts[where], ends[where], np.where(later[where], 0, 1)
+        size = e - s + mark
         put = np.zeros(len(s) + 1, np.int64)
         np.cumsum(size, out=put[1:])
         flat = np.full(int(put[-1]), ord("<"), np.uint8)
-        src = np.arange(int(put[-1])) - np.repeat(put[:-1] + 1 - s, size)
+        src = np.arange(int(put[-1])) - np.repeat(put[:-1] + mark - s, size)
         inner = np.ones(len(flat), bool)
-        inner[put[:-1]] = False
+        inner[put[:-1][mark > 0]] = False
         flat[inner] = buf[src[inner]]
         left = np.repeat(put[1:], size) - np.arange(len(flat))
         grams, owners = [], []
@@ -74,7 +101,7 @@ class Words:
         order = np.argsort(np.concatenate(owners), kind="stable") if len(s) else np.zeros(0, np.int64)
         gram = np.concatenate(grams)[order].astype(np.int64) if len(s) else np.zeros(0, np.int64)
         gram_first = np.searchsorted(np.concatenate(owners)[order], np.arange(len(s) + 1)) if len(s) else np.zeros(1, np.int64)
-        return Words(kind, np.searchsorted(starts, at), (mix(distinct) >> np.uint64(64 - WORD_BITS)).astype(np.int64), gram, gram_first)
+        return Words(kind, first, (mix(distinct) >> np.uint64(64 - WORD_BITS)).astype(np.int64), gram, gram_first)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """(text, kinds or -1) of all windows: every STRIDE words, and one at least of a text that has words."""
@@ -219,9 +246,13 @@ class Network:
         """The highest logit of each text's windows; that of no words at all is -20."""
         out = np.full(len(texts), -20.0, np.float32)
         for i, j, part in batches(texts):
-            w = Words.of(part)
-            text, ids = w.windows()
-            np.maximum.at(out[i:j], text, self.logits(w, ids))
+            whole = part[:-1] if len(part[-1]) > LONG else part
+            if whole:
+                w = Words.of(whole)
+                text, ids = w.windows()
+                np.maximum.at(out[i:j], text, self.logits(w, ids))
+            for w in Words.stretches(part[-1]) if len(whole) < len(part) else []:
+                out[j - 1] = max(out[j - 1], self.logits(w, w.windows()[1]).max(initial=-20))
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:

@@ -47,6 +47,41 @@ def test_windows_cover_every_word():
     assert {int(k) for k in ids[text == 2].ravel() if k >= 0} == set(w.kind[w.first[2] : w.first[3]].tolist())
 
 
+def test_toxicity_reads_texts_without_spaces_to_their_end():
+    rng = random.Random(4)
+    toxic = [int(i % 3 == 0) for i in range(600)]
+    texts = ["".join(rng.choice([chr(0x4E00 + k) for k in range(400)]) for _ in range(rng.randint(80, 200))) + "毒蛇咬人" * y for y in toxic]
+    net = toxicity.fit(texts[:400], toxic[:400])
+    assert np.mean((net.scores(texts[400:]) >= 0.5) == np.array(toxic[400:])) > 0.9
+
+
+def test_pieces_have_every_gram_of_a_long_word():
+    rng = random.Random(6)
+    for n in [1, 4, 63, 64, 65, 68, 96, 97, 500]:
+        word = bytes(rng.choice(b"abcdefgh") for _ in range(n))
+        got = toxicity.Words.of([b"x " + word])
+        marked = b"<" + word
+        want = [marked[i : i + g] for g in (4, 5) for i in range(len(marked) - g + 1)] or [marked]
+        assert len(got.kind) == 1 + (-(-n // 32) if n > 64 else 1)
+        for gram in want:
+            code = 0
+            for k in range(len(gram)):
+                code = code * 257 + gram[k]
+            place = toxicity.mix(np.array([(code + len(gram)) % 2**64], np.uint64)) >> np.uint64(64 - toxicity.GRAM_BITS)
+            assert n < 4 or place[0] in got.gram
+
+
+def test_stretches_have_the_windows_of_the_text():
+    rng = random.Random(8)
+    for n in [0, 1, 16, 32, 48, 49, 63, 64, 65, 500]:
+        text = " ".join(words(rng, n)).encode() + b"z" * (40 * n)
+        whole = toxicity.Words.of([text])
+        net = toxicity.Network()
+        want = sorted(net.logits(whole, whole.windows()[1]).tolist())
+        got = sorted(x for w in toxicity.Words.stretches(text, 48) for x in net.logits(w, w.windows()[1]).tolist())
+        assert np.allclose(got, want, atol=1e-6)
+
+
 def test_pipeline_is_its_stages(spark, corpus, tmp_path):
     rng, docs = random.Random(2), {i: (t, "en") for i, (t, _) in corpus.items() if i < 120}
     base = words(rng, 200)
