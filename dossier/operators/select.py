@@ -1,18 +1,22 @@
 """Selections in a stated order: round robin, caps, floors and fills, joint quotas, batches and byte packing.
 
 Ranks within groups use windows over the group; where only the first few of each group count, Spark keeps just these before
-the shuffle. A selection under joint quotas depends on every earlier choice; it folds over a bounded number of rows: those
-that no choice could reach are left out first, by their ranks.
+the shuffle. A selection under joint quotas depends on every earlier choice; it goes over bounded stretches of the rows that
+can still be taken, and then gives all rows their reason in one join.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections import Counter
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 ORD = "ord"
+#: Rows that a round of joint quotas reads at least.
+STRETCH = 1000
 
 
 def ranked(df: DataFrame, group: str, *order: Column, name: str = "rank") -> DataFrame:
@@ -66,36 +70,83 @@ def top_up(df: DataFrame, group: str, have: DataFrame, target: int, *order: Colu
 
 
 def joint_quota(df: DataFrame, caps: dict[str, int], total: int, ord_: str = ORD, unique: str | None = None) -> DataFrame:
-    """`reason` of each row in order, null if it is taken: `duplicate`, `<column>-capacity` or `total`.
+    """`reason` of each row in order, null if it is taken: `total`, `duplicate` or `<column>-capacity`, whichever holds first.
 
-    A row that is turned down uses no quota. Of each group of the first column only as many candidates as could count go
-    to the fold: since a row can be turned down by the other columns' quotas, none is left out while total isn't met; the
-    input is therefore the bounded result of a discovery run, and the fold stops at `total`.
+    A row that is turned down uses no quota; a null is a value like any other. Rows are taken in rounds, here and now:
+    each one reads the next STRETCH rows whose values still have quota. What was taken, `total` rows at most, then gives
+    every row its reason: the places in order at which the total and each value ran full are joined with all rows. Rounds
+    read df again, so persist what is dear.
     """
-    columns = list(caps)
-    schema = StructType([*(f for f in df.schema.fields if f.name != "reason"), StructField("reason", StringType())])
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ord_, kind="stable")
-        used: dict[tuple, int] = {}
-        seen: set = set()
-        taken, reasons = 0, []
-        for row in pdf.to_dict("records"):
-            why = "total" if taken >= total else None
-            if why is None and unique is not None and row[unique] in seen:
-                why = "duplicate"
-            for c in columns:
-                if why is None and used.get((c, row[c]), 0) >= caps[c]:
-                    why = f"{c}-capacity"
-            if why is None:
-                taken += 1
-                seen.add(row[unique] if unique is not None else None)
-                for c in columns:
-                    used[c, row[c]] = used.get((c, row[c]), 0) + 1
-            reasons.append(why)
-        return pdf.assign(reason=reasons)
-
-    return df.groupBy(F.lit(0).alias("_all")).applyInPandas(lambda pdf: fold(pdf.drop(columns=[c for c in pdf.columns if c == "_all"])), schema)
+    df = df.drop("reason")
+    keys = list(dict.fromkeys([ord_, *caps, *([unique] if unique is not None else [])]))
+    place = F.struct(F.col(ord_).isNull().alias("last"), *(F.col(k) for k in keys))
+    taken = _taken(df.select(*keys), place, caps, total, ord_, unique)
+    fields = [df.schema[k] for k in keys]
+
+    def full(name: str, at: dict) -> DataFrame:
+        """The place at which each of these values was used up."""
+        schema = StructType([StructField("_value", df.schema[name].dataType), *(StructField(f"_k{i}", f.dataType) for i, f in enumerate(fields))])
+        return F.broadcast(df.sparkSession.createDataFrame([(v, *row) for v, row in at.items()], schema))
+
+    def behind(joined: DataFrame, at: DataFrame, name: str, flag: str) -> DataFrame:
+        here = F.struct(F.col(f"_k{keys.index(ord_)}").isNull().alias("last"), *(F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)))
+        both = joined.join(at, joined[name].eqNullSafe(at["_value"]), "left")
+        return both.withColumn(flag, F.coalesce(F.col("_there") & (place >= here), F.lit(False))).drop("_value", "_there", *(f"_k{i}" for i in range(len(keys))))
+
+    out, why = df, [(F.lit(total <= 0), "total")]
+    if 0 < total <= len(taken):
+        end = F.struct(F.lit(taken[-1][keys.index(ord_)] is None).alias("last"), *(F.lit(v).cast(f.dataType).alias(k) for k, v, f in zip(keys, taken[-1], fields, strict=True)))
+        why.append((place >= end, "total"))
+    rules = [("duplicate", unique, 1)] if unique is not None else []
+    for i, (reason, name, most) in enumerate([*rules, *((f"{c}-capacity", c, n) for c, n in caps.items())]):
+        used: dict = {}
+        for row in taken:
+            used.setdefault(row[keys.index(name)], []).append(row)
+        out = behind(out, full(name, {v: rows[most - 1] for v, rows in used.items() if len(rows) >= most > 0}).withColumn("_there", F.lit(True)), name, f"_full{i}")
+        why.append((F.col(f"_full{i}") | F.lit(most <= 0), reason))
+    reason = F.coalesce(*(F.when(c, F.lit(r)) for c, r in why))
+    # rows in the place of a taken one: as many copies as were taken are taken
+    n = [(*row, k) for row, k in Counter(taken).items()]
+    won = df.sparkSession.createDataFrame(n, StructType([*(StructField(f"_k{i}", f.dataType) for i, f in enumerate(fields)), StructField("_n", IntegerType())]))
+    same = reduce(lambda a, b: a & b, (out[k].eqNullSafe(won[f"_k{i}"]) for i, k in enumerate(keys)))
+    out = out.withColumn("reason", reason).join(F.broadcast(won), same, "left")
+    hit = out.where("_n is not null").withColumn("_r", F.row_number().over(Window.partitionBy(*(f"_k{i}" for i in range(len(keys)))).orderBy(F.lit(0))))
+    hit = hit.withColumn("reason", F.when(F.col("_r") > F.col("_n"), F.col("reason")))
+    return out.where("_n is null").select(*df.columns, "reason").unionByName(hit.select(*df.columns, "reason"))
+
+
+def _taken(df: DataFrame, place: Column, caps: dict[str, int], total: int, ord_: str, unique: str | None) -> list[tuple]:
+    """The rows that joint quotas take, in order."""
+    size, spark = max(STRETCH, 2 * total), df.sparkSession
+    limits = ({unique: 1} if unique is not None else {}, caps)
+    used: Counter = Counter()
+    taken: list[tuple] = []
+    if any(n <= 0 for n in caps.values()):
+        return taken
+    last, again = None, 0
+    while len(taken) < total:
+        rest = df
+        for kind, each in enumerate(limits):
+            for c, n in each.items():
+                gone = [(v,) for (k, name, v), m in used.items() if (k, name) == (kind, c) and m >= n]
+                if gone:
+                    full = spark.createDataFrame(gone, StructType([StructField("_value", df.schema[c].dataType)]))
+                    rest = rest.join(F.broadcast(full), rest[c].eqNullSafe(full["_value"]), "left_anti")
+        if last is not None:
+            begin = F.struct(F.lit(last[df.columns.index(ord_)] is None).alias("last"), *(F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(df.columns, last, strict=True)))
+            rest = rest.where(place >= begin)
+        rows = [tuple(r) for r in rest.orderBy(place).limit(size).collect()]  # size rows
+        new = [r for i, r in enumerate(rows) if i >= again or r != last]  # copies of the last row come again
+        for row in new:
+            names = [(kind, c, row[df.columns.index(c)]) for kind, each in enumerate(limits) for c in each]
+            if len(taken) < total and all(used[k] < limits[k[0]][k[1]] for k in names):
+                taken.append(row)
+                used.update(names)
+        if len(rows) < size:
+            break
+        last = rows[-1]
+        again = taken.count(last)  # if its values still have quota, all its copies so far were taken
+    return taken
 
 
 def phases(frames: list[DataFrame], key: str, budget: int, ord_: str = ORD) -> DataFrame:

@@ -1,6 +1,7 @@
 """Rules on small fixtures: each fires at least once and stays quiet at least once."""
 
 import io
+import random
 import zipfile
 
 import pandas as pd
@@ -195,6 +196,29 @@ def test_selections(spark):
     assert {r["ord"] for r in select.quota_swap(df, F.col("g") == "b", 2, 3, F.desc("s"), F.col("ord")).collect()} == {5, 2, 1}
 
 
+def test_joint_quota_in_rounds_is_the_fold(spark, monkeypatch):
+    monkeypatch.setattr(select, "STRETCH", 7)
+    rng = random.Random(5)
+    for total, caps in [(3, {"host": 2, "module": 2}), (12, {"host": 3, "module": 5}), (500, {"host": 2, "module": 9}), (0, {"host": 1}), (4, {"host": 0})]:
+        data = [(rng.choice([1, None, *range(60)]), rng.choice("abcdefgh") if rng.random() < 0.9 else None, rng.choice("xyz"), rng.choice(["u", "v", *map(str, range(40))])) for _ in range(120)]
+        data += data[:20]
+        for unique in [None, "url"]:
+            got = [tuple(r) for r in select.joint_quota(rows(spark, data, "ord long, host string, module string, url string"), caps, total, unique=unique).collect()]
+            order = ["ord", *caps, *([unique] if unique else [])]
+            at = {"ord": 0, "host": 1, "module": 2, "url": 3}
+            key = lambda r: (r[0] is None, *((r[at[k]] is not None, r[at[k]] if r[at[k]] is not None else 0) for k in order))  # noqa: B023, E731
+            want, taken, used, seen = [], 0, {}, set()
+            for r in sorted(data, key=key):
+                why = "total" if taken >= total else "duplicate" if unique and r[3] in seen else next((f"{c}-capacity" for c in caps if used.get((c, r[at[c]]), 0) >= caps[c]), None)
+                if why is None:
+                    taken += 1
+                    seen.add(r[3])
+                    for c in caps:
+                        used[c, r[at[c]]] = used.get((c, r[at[c]]), 0) + 1
+                want.append((*(r[at[k]] for k in order), why))
+            assert sorted(map(repr, ((*(r[at[k]] for k in order), r[4]) for r in got))) == sorted(map(repr, want))
+
+
 def test_joins(spark):
     c = rows(spark, [(0, "A", "u1", "t1", ""), (1, "B", "u2", "t2", ""), (2, "C", "u9", "", "")], "ord long, title string, k1 string, k2 string, k3 string")
     r = rows(spark, [(0, "R0", "t2", "z", True), (1, "R1", "u2", "q", True), (2, "", "u1", "", True), (3, "R3", "n1", "", True), (4, "R4", "n1", "", True), (5, "R5", "n5", "", False)], "ord long, title string, a string, b string, hard boolean")

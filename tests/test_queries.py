@@ -63,6 +63,17 @@ def test_joint_quota_of_events(spark):
     assert taken and used == {}
 
 
+def test_joint_quota_has_a_reason_for_every_event(spark, tmp_path):
+    """One user's events fill the first thousands; all rows have a reason, and the quotas are filled by later ones."""
+    kinds = ["view", "click", "purchase", "signup"]
+    spark.range(6000).selectExpr("id as event_id", "if(id < 5000, 1, id) as user_id", f"array({', '.join(map(repr, kinds))})[id % 4] as event_type").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r["ord"]: r["reason"] for r in registry.QUERIES["event_joint_quota"](spark, str(tmp_path)).collect()}
+    taken = [0, 1, *range(5000, 5098)]
+    assert sorted(got) == list(range(6000))
+    assert [i for i in sorted(got) if got[i] is None] == taken
+    assert {got[i] for i in range(2, 5000)} == {"user_id-capacity"} and {got[i] for i in range(5098, 6000)} == {"total"}
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as entry
 
