@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -70,14 +70,23 @@ def turn_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.running_number(c, "conv_id", F.col("turn")).select("conv_id", "turn", F.col("number").cast("long").alias("number"))
 
 
-def turn_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation's first and last words of each role: both rules for repeated keys."""
-    c = _table(spark, sf_dir, "conversations").select("conv_id", "role", F.col("turn").alias("ord"), F.substring("text", 1, 40).alias("said"), F.concat_ws("/", "conv_id", "role").alias("key"))
+def _turn_lookups(spark: SparkSession, sf_dir: str, said: Column) -> DataFrame:
+    c = _table(spark, sf_dir, "conversations").select("conv_id", "role", F.col("turn").alias("ord"), said.alias("said"), F.concat_ws("/", "conv_id", "role").alias("key"))
     keys = c.select("key").distinct()
     first = joins.lookup(keys, c.select("key", "ord", F.col("said").alias("first_said")), "key", ["first_said"])
     return joins.lookup(first, c.select("key", "ord", F.col("said").alias("last_said")), "key", ["last_said"], last=True)
 
 
+def turn_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 40 characters of each conversation's first and last words of each role; turn_text_lookups has the whole texts."""
+    return _turn_lookups(spark, sf_dir, F.substring("text", 1, 40))
+
+
+def turn_text_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation's first and last words of each role, whole: both rules for repeated keys."""
+    return _turn_lookups(spark, sf_dir, F.col("text"))
+
+
 def turn_first_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "conversations")
     users, others = F.when(F.col("role") == "user", F.col("text")), F.when(F.col("role") != "user", F.col("text"))
@@ -117,12 +126,20 @@ def supplier_top_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.top_up(s.where("s_acctbal <= 5000").select("s_suppkey", "s_nationkey"), "s_nationkey", have, 4, F.col("s_suppkey"))
 
 
-def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Additive scores of orders and their order: critical ones first, then by score, then by key."""
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders")
     score = scoring.points((F.col("o_orderpriority").startswith("1"), 30), (F.col("o_orderpriority").startswith("2"), 15), (F.col("o_orderstatus") == "F", 25), (F.col("o_totalprice") > 200000, 20), (F.col("o_totalprice") < 1000, -10))
-    top = o.select("o_orderkey", score.cast("long").alias("score"), F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("later"))
-    return top.orderBy("later", F.desc("score"), "o_orderkey").limit(200).select("o_orderkey", "score")
+    return o.select("o_orderkey", score.cast("long").alias("score"), F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("later"))
+
+
+def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of the top 200 orders by additive scores: critical ones first, then by score, then by key; scored_orders has all."""
+    return _scored(spark, sf_dir).orderBy("later", F.desc("score"), "o_orderkey").limit(200).select("o_orderkey", "score")
+
+
+def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The additive score of every order."""
+    return _scored(spark, sf_dir).select("o_orderkey", "score")
 
 
 def order_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +209,8 @@ def revenue_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        event_freshness, event_freshness_exceptions, event_period, event_unseen, event_state, event_dense_counts, event_top_values, event_joint_quota, turn_numbers, turn_lookups, turn_first_text, nation_dense_counts,
-        nation_segment_matrix, nation_coverage, supplier_floor_cap, supplier_top_up, order_scores, order_quota, order_last_wins, order_best_wins, order_phases, order_bijection, order_subset, part_same_sets,
+        event_freshness, event_freshness_exceptions, event_period, event_unseen, event_state, event_dense_counts, event_top_values, event_joint_quota, turn_numbers, turn_lookups, turn_text_lookups, turn_first_text, nation_dense_counts,
+        nation_segment_matrix, nation_coverage, supplier_floor_cap, supplier_top_up, order_scores, scored_orders, order_quota, order_last_wins, order_best_wins, order_phases, order_bijection, order_subset, part_same_sets,
         part_tiered_lookup, supplier_merge, revenue_by_nation,
     )
 }
@@ -216,6 +233,7 @@ WITH c AS (SELECT 'event_type' AS dimension, event_type AS value, count(*) AS n
 SELECT dimension, value, n FROM (SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY n DESC, value) AS r FROM c) WHERE r <= 5""",
     "turn_numbers": "SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS number FROM conversations",
     "turn_lookups": "SELECT conv_id || '/' || role AS key, arg_min(substr(text, 1, 40), turn) AS first_said, arg_max(substr(text, 1, 40), turn) AS last_said FROM conversations GROUP BY 1",
+    "turn_text_lookups": "SELECT conv_id || '/' || role AS key, arg_min(text, turn) AS first_said, arg_max(text, turn) AS last_said FROM conversations GROUP BY 1",
     "turn_first_text": """
 WITH o AS (SELECT conv_id, trim(regexp_replace(coalesce(arg_min(text, turn) FILTER (role = 'user'), ''), '\\s+', ' ', 'g')) AS u, trim(regexp_replace(coalesce(arg_min(text, turn) FILTER (role <> 'user'), ''), '\\s+', ' ', 'g')) AS o FROM conversations GROUP BY 1),
 s AS (SELECT conv_id, coalesce(nullif(u, ''), nullif(o, ''), '') AS s FROM o)
@@ -235,6 +253,9 @@ SELECT s_suppkey, r.s_nationkey FROM r LEFT JOIN h USING (s_nationkey) WHERE r <
 WITH s AS (SELECT o_orderkey, o_orderstatus, (CASE WHEN o_orderpriority LIKE '1%' THEN 30 ELSE 0 END + CASE WHEN o_orderpriority LIKE '2%' THEN 15 ELSE 0 END + CASE WHEN o_orderstatus = 'F' THEN 25 ELSE 0 END
   + CASE WHEN o_totalprice > 200000 THEN 20 ELSE 0 END + CASE WHEN o_totalprice < 1000 THEN -10 ELSE 0 END)::BIGINT AS score FROM orders)
 SELECT o_orderkey, score FROM s ORDER BY o_orderstatus <> 'P', score DESC, o_orderkey LIMIT 200""",
+    "scored_orders": """
+SELECT o_orderkey, (CASE WHEN o_orderpriority LIKE '1%' THEN 30 ELSE 0 END + CASE WHEN o_orderpriority LIKE '2%' THEN 15 ELSE 0 END + CASE WHEN o_orderstatus = 'F' THEN 25 ELSE 0 END
+  + CASE WHEN o_totalprice > 200000 THEN 20 ELSE 0 END + CASE WHEN o_totalprice < 1000 THEN -10 ELSE 0 END)::BIGINT AS score FROM orders""",
     "order_quota": """
 WITH must AS (SELECT o_orderkey FROM orders WHERE o_orderpriority LIKE '1%' ORDER BY o_totalprice DESC, o_orderkey LIMIT 30)
 SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderkey IN (SELECT o_orderkey FROM must) DESC, o_totalprice DESC, o_orderkey LIMIT 50""",

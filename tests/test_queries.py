@@ -74,6 +74,16 @@ def test_joint_quota_has_a_reason_for_every_event(spark, tmp_path):
     assert {got[i] for i in range(2, 5000)} == {"user_id-capacity"} and {got[i] for i in range(5098, 6000)} == {"total"}
 
 
+def test_every_order_and_whole_texts(spark):
+    assert registry.QUERIES["scored_orders"](spark, DATA).count() == spark.read.parquet(f"{DATA}/orders.parquet").count()
+    turns = spark.read.parquet(f"{DATA}/conversations.parquet").collect()
+    first = {}
+    for r in sorted(turns, key=lambda r: r["turn"]):
+        first.setdefault(f"{r['conv_id']}/{r['role']}", r["text"])
+    got = {r["key"]: r["first_said"] for r in registry.QUERIES["turn_text_lookups"](spark, DATA).collect()}
+    assert got == first and any(len(t or "") > 40 for t in got.values())
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as entry
 
