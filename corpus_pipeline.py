@@ -1,7 +1,8 @@
 """A cleaning pipeline over documents: language ID, toxicity, near-dedup, substring dedup, packing.
 
 Each stage takes what the one before it kept. run() writes each stage's result as Parquet below the session's checkpoint
-folder and reads it again, so a stage never runs twice and no lineage crosses stages.
+folder and reads it again, so a stage never runs twice and no lineage crosses stages. Rows of one id with different texts are
+decided each by itself: a decision belongs to the id and the text.
 """
 
 from __future__ import annotations
@@ -28,14 +29,14 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near copies (five-word shingles, similarity 0.8 or more)."""
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = minhash.near_duplicates(docs, hashed=True).where("not kept").select("doc_id", "text_md5").distinct()
+    return docs.withColumn("text_md5", F.md5("text")).join(gone, ["doc_id", "text_md5"], "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without words of windows that a document with a smaller id has; n_chars follows the text."""
-    cut = substring.kept_texts(docs).where("n_removed > 0").select("doc_id", F.col("text").alias("new_text")).dropDuplicates(["doc_id"])
-    out = docs.join(cut, "doc_id", "left")
+    cut = substring.kept_texts(docs).where("n_removed > 0").select("doc_id", "text_md5", F.col("text").alias("new_text")).dropDuplicates(["doc_id", "text_md5"])
+    out = docs.withColumn("text_md5", F.md5("text")).join(cut, ["doc_id", "text_md5"], "left")
     changed = F.col("new_text").isNotNull()
     values = {"text": F.when(changed, F.col("new_text")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:

@@ -16,6 +16,8 @@ bits. That bound is exact, so it only keeps pairs of unlike texts from becoming
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from . import common, shelves
 from .components import components
 from .shelves import expand, squeeze
-from .wordhash import SPACE, member, mix, pack_sorted, run_hashes, run_starts, unpack_sorted, words
+from .wordhash import SPACE, encode, member, mix, pack_sorted, run_hashes, run_starts, unpack_sorted, words
 
 SHINGLE, PERCENT = 5, 80
 HALVES, WIDTH = 12, 3
@@ -138,8 +140,8 @@ def _shared_keys(shelved: DataFrame, shingle: int, halves: int, width: int, bits
     return sent.groupBy("bucket").applyInPandas(answer, "shelf long, bucket int, codes binary")
 
 
-def _signed(shelved: DataFrame, shared: DataFrame, shingle: int, halves: int, width: int) -> DataFrame:
-    """(doc_id, n_shingles, h1, keys, shingles, bits) of every document; the last three only for the first of its class in a shelf, if it shares a key."""
+def _signed(shelved: DataFrame, shared: DataFrame, shingle: int, halves: int, width: int, hashed: bool) -> DataFrame:
+    """(doc_id, n_shingles, h1, keys, shingles, bits) of every document; the last three only for the first of its class in a shelf, if it shares a key; text_md5 if hashed."""
 
     def last(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(expand(x)) for x in right["codes"])]))
@@ -156,11 +158,12 @@ def _signed(shelved: DataFrame, shared: DataFrame, shingle: int, halves: int, wi
                     keys[i] = np.unique(table[k][hit[k]]).view(np.int64)
                     own = s.value[s.first[k] : s.first[k + 1]]
                     sets[i], bits[i] = pack_sorted(own), sketch(own)
-            rows += zip(ids, s.size.tolist(), s.set_hash.tolist(), keys, sets, bits, strict=True)
-        out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "keys", "shingles", "bits"])
+            more = [[None if t is None else hashlib.md5(encode(t)).hexdigest() for t in texts]] if hashed else []
+            rows += zip(ids, s.size.tolist(), s.set_hash.tolist(), keys, sets, bits, *more, strict=True)
+        out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "keys", "shingles", "bits", *(["text_md5"] if hashed else [])])
         return out.astype({"doc_id": "Int64"})
 
-    return shelved.groupBy("shelf").cogroup(shared.groupBy("shelf")).applyInPandas(last, "doc_id long, n_shingles long, h1 long, keys array<long>, shingles binary, bits array<long>")
+    return shelved.groupBy("shelf").cogroup(shared.groupBy("shelf")).applyInPandas(last, "doc_id long, n_shingles long, h1 long, keys array<long>, shingles binary, bits array<long>" + (", text_md5 string" if hashed else ""))
 
 
 def _alike_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -193,8 +196,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_a.select("a", "p", "q", "x", "y").mapInPandas(verify, "p long, q long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, width: int = WIDTH, shelf_bytes: int = shelves.SHELF_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, width: int = WIDTH, shelf_bytes: int = shelves.SHELF_BYTES, hashed: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; if hashed, text_md5 as well, which tells rows of one id apart.
 
     Null and blank texts have no shingles and link with nothing; a text of fewer words than a shingle has is one shingle
     by itself. Rows of one id are one document for its links: they get the same component only if their sets link. Rows
@@ -203,7 +206,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """
     bits = shelves.buckets(common.text_bytes(docs))
     shelved = shelves.shelve(docs, shelf_bytes=shelf_bytes)
-    signed = common.checkpointed(_signed(shelved, _shared_keys(shelved, shingle, halves, width, bits), shingle, halves, width))
+    signed = common.checkpointed(_signed(shelved, _shared_keys(shelved, shingle, halves, width, bits), shingle, halves, width, hashed))
 
     # a class is known by its set's hash; rows of equal sets are equal for all that follows
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("h1").agg(F.min("doc_id").alias("rep"))
@@ -237,10 +240,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     first = classes.join(joined.withColumnRenamed("id", "h1"), "h1", "left").withColumn("before", F.coalesce("component", "h1")).drop("component")
     nodes = first.join(merged.withColumnRenamed("id", "before"), "before", "left").withColumn("component", F.coalesce("component", "before"))
     least = nodes.groupBy("component").agg(F.min("rep").alias("of_class"))
-    out = signed.select("doc_id", "n_shingles", "h1").join(nodes.join(least, "component").select("h1", "of_class"), "h1", "left")
+    more = ["text_md5"] if hashed else []
+    out = signed.select("doc_id", "n_shingles", "h1", *more).join(nodes.join(least, "component").select("h1", "of_class"), "h1", "left")
     linked = F.when(F.col("n_shingles") > 0, F.col("of_class"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(linked, "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), *more)
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

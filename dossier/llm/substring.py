@@ -249,16 +249,17 @@ def removed_words(docs: DataFrame, window: int = WINDOW, shelf_bytes: int = shel
 
 
 def kept_texts(docs: DataFrame, window: int = WINDOW, shelf_bytes: int = shelves.SHELF_BYTES) -> DataFrame:
-    """(doc_id, n_removed, text) of every row: a text that loses words is its kept words joined by blanks, another stays as it is."""
+    """(doc_id, n_removed, text, text_md5) of every row, the last of the text as it was: a text that loses words is its kept words joined by blanks, another stays as it is."""
 
     def finish(s: Shelf, gone: np.ndarray):
         for i, _, n_removed, cut in s.rows(gone):
             text = s.texts[i]
+            was = None if text is None else hashlib.md5(encode(text)).hexdigest()
             if n_removed:
                 text = b" ".join([w for w, c in zip(encode(text).split(), cut.tolist(), strict=True) if not c]).decode("utf-8", "surrogatepass")
-            yield s.ids[i], n_removed, text
+            yield s.ids[i], n_removed, text, was
 
-    return _run(docs, window, finish, "doc_id long, n_removed long, text string", shelf_bytes)
+    return _run(docs, window, finish, "doc_id long, n_removed long, text string, text_md5 string", shelf_bytes)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,6 +82,17 @@ def test_stretches_have_the_windows_of_the_text():
         assert np.allclose(got, want, atol=1e-6)
 
 
+def test_rows_of_one_id_are_decided_by_their_own_text(spark, tmp_path):
+    rng = random.Random(3)
+    a, b, c = (words(rng, 120) for _ in range(3))
+    docs = spark.createDataFrame([(3, " ".join(a)), (7, " ".join(a)), (7, " ".join(b)), (8, None)], "doc_id long, text string").repartition(2)
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in got) == sorted([(3, " ".join(a)), (7, " ".join(b)), (8, "")])
+    rows = [(3, " ".join(a)), (7, " ".join(c[:50] + a[:90])), (7, " ".join(b)), (8, None)]
+    got = corpus_pipeline.substring_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in got) == sorted([(3, " ".join(a)), (7, " ".join(c[:50])), (7, " ".join(b)), (8, "")])
+
+
 def test_pipeline_is_its_stages(spark, corpus, tmp_path):
     rng, docs = random.Random(2), {i: (t, "en") for i, (t, _) in corpus.items() if i < 120}
     base = words(rng, 200)
