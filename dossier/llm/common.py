@@ -5,9 +5,13 @@ from __future__ import annotations
 import gc
 import math
 import pickle
+import uuid
 import zlib
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,26 +20,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df cut from its lineage in the folder that spark.checkpoint.dir names; a folder of our own only where none is set, as in tests."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="dossier-checkpoint-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which all executors share; one of our own only where none is set, as in tests."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        import tempfile
+
+        folder = tempfile.mkdtemp(prefix="dossier-")
         sc.setCheckpointDir(folder)
-    out = df.checkpoint()
-    release(df.sparkSession)
-    return out
+    return folder.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df as a table written below the shared folder and read again.
+
+    What follows starts from files that outlive any executor, reads only the columns it needs and knows their true size.
+    Unlike checkpoint() this also drops what the planner has inferred about df, which in loops grows with every turn.
+    """
+    path = f"{shared_folder(df.sparkSession)}/steps/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files and broadcasts that nothing refers to any more.
+    """Lets Spark give up what finished steps left: shuffle and checkpoint files on disk, broadcasts and compiled plans in memory.
 
-    Spark does so once the driver's garbage collector has met the dead reference, by itself every 30 minutes or when the
-    heap is full; until then all that earlier steps shuffled stays on the executors' disks.
+    It does so once the driver's garbage collector meets the dead references, by itself every 30 minutes or when the heap
+    is full. Operators of many steps call this between them.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
@@ -62,6 +74,20 @@ def trained(sample: DataFrame, fit, order: list[str]):
     return pickle.loads(got["model"]) if got else fit({c: [] for c in columns})
 
 
+#: Bytes of text that are Python strings at once inside a task.
+STRETCH = 1 << 20
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = STRETCH):
+    """Runs of rows of a batch whose texts have about `size` bytes together, so a task's memory follows that and not the batch."""
+    if not batch.num_rows:
+        return
+    n = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // size
+    cut = np.flatnonzero(np.diff(n, prepend=-1)).tolist()
+    for a, b in zip(cut, [*cut[1:], batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 

@@ -13,9 +13,18 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
+#: Parts of a component's members when something is joined to all of them, so that no task gets a whole hot one.
+PARTS = 8
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(id, component) of every id on a link between two different ids; component is the smallest id reachable.
+
+def spread(members: DataFrame, of_component: DataFrame, component: str, member: str) -> DataFrame:
+    """members joined with of_component, a row for each component, on component and a part of its members."""
+    dealt = members.withColumn("part", F.pmod(F.xxhash64(member), F.lit(PARTS)).cast("int"))
+    return dealt.join(of_component.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))), [component, "part"]).drop("part")
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b", least: bool = True) -> DataFrame:
+    """(id, component) of every id on a link between two different ids; component is the smallest id reachable, or without `least` any one of them.
 
     Links may repeat, run either way and join an id with itself; those with a null end are left out.
     """
@@ -28,8 +37,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return F.struct((c if round_ == 0 else F.xxhash64(c, F.lit(round_))).alias("rank"), c.alias("to"))
 
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min(order(F.col("b"))).alias("m"))
-        step = checkpointed(least.select(F.col("a").alias("id"), F.least(F.col("m"), order(F.col("a")))["to"].alias("to")))
+        nearest = both.groupBy("a").agg(F.min(order(F.col("b"))).alias("m"))
+        step = checkpointed(nearest.select(F.col("a").alias("id"), F.least(F.col("m"), order(F.col("a")))["to"].alias("to")))
         steps.append(step)
         left = links.join(step, links["a"] == step["id"]).select(F.col("to").alias("a"), "b")
         right = left.join(step, left["b"] == step["id"]).select("a", F.col("to").alias("b"))
@@ -40,8 +49,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for step in reversed(steps[:-1]):
         onward = root.select(F.col("id").alias("to"), F.col("to").alias("root"))
         root = step.join(onward, "to", "left").select("id", F.coalesce("root", "to").alias("to"))
-    if len(steps) > 1:
+    if len(steps) > 1 and least:
         root = checkpointed(root)
-        least = root.groupBy("to").agg(F.min("id").alias("component"))
-        return root.join(least, "to").select("id", "component")
+        return spread(root, root.groupBy("to").agg(F.min("id").alias("component")), "to", "id").select("id", "component")
     return root.select("id", F.col("to").alias("component"))

@@ -5,13 +5,17 @@ one from the other is the key of a table. HALVES * HALVES tables of 2 * WIDTH mi
 minhashes instead of 2 * HALVES * HALVES * WIDTH. At a similarity s two documents meet in some table with probability
 (1 - (1 - s^WIDTH)^HALVES)^2: 0.9993 at 0.8 and 1 - 1e-8 at 0.9 with the defaults.
 
-Documents with equal shingle sets are one class and take part once. Documents are packed in shelves; a shelf first sends
-only the sorted hashes of its table keys, so keys that nobody else has go no further. Then each table's smallest document
-is compared with the others on full sets; components follow from the links found. Last, in each table that still holds
-different components, documents outside its largest component meet all those of other components, so that no candidate
-pair goes untested unless both ends are joined already. There the join itself drops pairs that cannot be alike enough:
-each set has a parity bitmap of its shingles, and two sets differ in at least as many shingles as their bitmaps do in
-bits. That bound is exact, so it only keeps pairs of unlike texts from becoming rows.
+One pass over the texts makes a signature of each distinct shingle set: its half keys and a parity bitmap of its shingles.
+Signatures are written in packs; no text is shuffled. A pack sends only the sorted leading bits of its table keys to
+buckets, so keys that nobody else has go no further. Documents with equal shingle sets are one class and take part once.
+
+Links are confirmed on full sets, which are made anew from just the texts that a pair names. In a first round each class
+meets the most connected class of its tables, in a second one a class drawn at random for each table that still holds
+different components; either way the one it shares most tables with. Last, in each table that still holds different
+components, classes outside its largest component meet all those of other components, each pair in the first table that
+both share, so that no candidate pair goes untested unless both ends are joined already. Before texts are read again,
+pairs that cannot be alike enough are dropped: two sets differ in at least as many shingles as their bitmaps do in bits.
+That bound is exact.
 """
 
 from __future__ import annotations
@@ -20,11 +24,12 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, shelves
-from .components import components
+from . import common
+from .components import components, spread
 from .shelves import expand, squeeze
 from .wordhash import SPACE, encode, member, mix, pack_sorted, run_hashes, run_starts, unpack_sorted, words
 
@@ -32,6 +37,16 @@ SHINGLE, PERCENT = 5, 80
 HALVES, WIDTH = 12, 3
 #: 64-bit words of a set's parity bitmap.
 SKETCH = 8
+#: Bytes of text, and documents, that one pack of signatures covers at most.
+PACK_BYTES, PACK_DOCS = 32 << 20, 4096
+#: Bytes of text that are made into sets at once.
+STEP = 1 << 20
+#: Table keys a bucket gets, about, and bits of a key beyond those that number all keys: so few keys are shared by chance.
+BUCKET_KEYS, SPARE_BITS = 1 << 20, 18
+#: Shingles that are compared with one set in one place.
+LOAD = 1 << 19
+#: Ids of texts to read again up to which their list is broadcast; a longer list is joined by a shuffle.
+BROADCAST_IDS = 200_000
 _RNG = np.random.Generator(np.random.PCG64(77))
 _TIMES = _RNG.integers(1, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -56,13 +71,17 @@ def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.nd
     return value, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
-def table_keys(value: np.ndarray, first: np.ndarray, halves: int, width: int) -> np.ndarray:
-    """A row of halves * halves table keys for each non-empty set."""
-    at = first[:-1][np.diff(first) > 0]
-    if not len(at):
-        return np.zeros((0, halves * halves), np.uint64)
+def set_hashes(value: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One number for each set, the same for equal sets."""
+    total = np.zeros(len(value) + 1, np.uint64)
+    np.cumsum(mix(value), out=total[1:])
+    return mix(total[first[1:]] - total[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64)
+
+
+def half_keys(value: np.ndarray, first: np.ndarray, halves: int, width: int) -> np.ndarray:
+    """A row of 2 * halves half keys for each set; none may be empty."""
+    at, ends = first[:-1], first[1:]
     half = np.zeros((2 * halves, len(at)), np.uint64)
-    ends = np.append(at[1:], len(value))
     i = 0
     while i < len(at):  # as many sets at once as the processor's cache holds
         j = max(i + 1, int(np.searchsorted(ends, at[i] + 65536, "right")))
@@ -71,34 +90,20 @@ def table_keys(value: np.ndarray, first: np.ndarray, halves: int, width: int) ->
             row = half[k // width]
             row[i:j] = mix((row[i:j] ^ np.minimum.reduceat(part * _TIMES[k], starts)) * _TIMES[256 + k % 256] + np.uint64(k))
         i = j
-    a, b = half[:halves].T, half[halves:].T
+    return np.ascontiguousarray(half.T)
+
+
+def table_bits(halves: int) -> int:
+    return common.bits_for(halves * halves)
+
+
+def table_keys(half: np.ndarray) -> np.ndarray:
+    """A row of halves * halves table keys for each row of half keys; the last bits of a key are its table's number."""
+    halves = half.shape[1] // 2
+    a, b, low = half[:, :halves], half[:, halves:], np.uint64((1 << table_bits(halves)) - 1)
     tables = np.arange(halves * halves, dtype=np.uint64).reshape(1, halves, halves)
-    return mix(a[:, :, None] + b[:, None, :] * np.uint64(0x9E3779B97F4A7C15) + tables).reshape(len(at), halves * halves)
-
-
-class Shelf:
-    """Sets of a shelf's documents, equal ones together: `of` is each document's class, `row` a class's place among non-empty ones."""
-
-    def __init__(self, ids: list[int | None], texts: list[str | None], shingle: int):
-        value, first = shingle_sets(texts, shingle)
-        self.size = np.diff(first)
-        total = np.zeros(len(value) + 1, np.uint64)
-        np.cumsum(mix(value), out=total[1:])
-        self.set_hash = mix(total[first[1:]] - total[first[:-1]] + self.size.astype(np.uint64)).view(np.int64)
-        order: dict[int, int] = {}
-        lead = np.zeros(len(ids), bool)
-        least = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
-        for i in least:
-            if self.size[i] and ids[i] is not None:
-                key = int(self.set_hash[i])
-                if key not in order:
-                    order[key] = i
-                    lead[i] = True
-        self.lead = np.flatnonzero(lead)
-        pick = np.concatenate([np.arange(first[i], first[i + 1]) for i in self.lead]) if len(self.lead) else np.zeros(0, np.int64)
-        self.value = value[pick]
-        self.first = np.zeros(len(self.lead) + 1, np.int64)
-        np.cumsum(self.size[self.lead], out=self.first[1:])
+    keys = mix(a[:, :, None] + b[:, None, :] * np.uint64(0x9E3779B97F4A7C15) + tables)
+    return ((keys & ~low) | tables).reshape(len(half), halves * halves)
 
 
 def sketch(value: np.ndarray) -> np.ndarray:
@@ -107,26 +112,124 @@ def sketch(value: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _split(codes: np.ndarray, bits: int):
+class Pack:
+    """Signatures of a run of documents: of each document its set's size and hash, of each class the smallest id, half keys and bitmap."""
+
+    def __init__(self, shingle: int, halves: int, width: int, hashed: bool):
+        self.shingle, self.halves, self.width, self.hashed = shingle, halves, width, hashed
+        self.ids: list[int | None] = []
+        self.size, self.hash, self.half, self.bits, self.n, self.md5 = [], [], [], [], [], []
+        self.least: dict[int, int] = {}
+
+    def add(self, ids: list[int | None], texts: list[str | None]) -> None:
+        value, first = shingle_sets(texts, self.shingle)
+        size, hashes = np.diff(first), set_hashes(value, first)
+        new: list[int] = []
+        for i, (doc_id, n, h) in enumerate(zip(ids, size.tolist(), hashes.tolist(), strict=True)):
+            if doc_id is not None and n:
+                if h not in self.least:
+                    new.append(i)
+                self.least[h] = min(doc_id, self.least.get(h, doc_id))
+        if new:
+            sets = [value[first[i] : first[i + 1]] for i in new]
+            at = np.zeros(len(new) + 1, np.int64)
+            np.cumsum(size[new], out=at[1:])
+            self.half.append(half_keys(np.concatenate(sets), at, self.halves, self.width))
+            self.bits += [sketch(s) for s in sets]
+            self.n += size[new].tolist()
+        self.ids += ids
+        self.size.append(size)
+        self.hash.append(hashes)
+        if self.hashed:
+            self.md5 += [b"" if t is None else hashlib.md5(encode(t)).digest() for t in texts]
+
+    def row(self) -> tuple:
+        known = np.array([0 if i is None else i for i in self.ids], np.int64)
+        nulls = np.array([i is None for i in self.ids], np.uint8)
+        return (
+            len(self.ids), squeeze(known.tobytes() + nulls.tobytes()), squeeze(np.concatenate(self.size).astype(np.int64).tobytes()), np.concatenate(self.hash).tobytes(),
+            np.array([bool(m) for m in self.md5], np.uint8).tobytes() + b"".join(self.md5) if self.hashed else b"",
+            np.array([*self.least.keys()], np.int64).tobytes(), np.array([*self.least.values()], np.int64).tobytes(), squeeze(np.array(self.n, np.int64).tobytes()),
+            b"".join(h.tobytes() for h in self.half), b"".join(b.tobytes() for b in self.bits),
+        )
+
+
+_PACKED = "n_docs long, ids binary, sizes binary, hashes binary, md5s binary, class_hash binary, class_id binary, class_n binary, half binary, bits binary"
+
+
+def _packs(docs: DataFrame, shingle: int, halves: int, width: int, pack_bytes: int, hashed: bool) -> DataFrame:
+    """(shelf, ...) as Pack.row() gives them; written, so that numbers of packs stay the same whatever is computed again."""
+    names = [c.split()[0] for c in _PACKED.split(", ")]
+
+    def rows(batches):
+        pack, size, ids, texts, step = Pack(shingle, halves, width, hashed), 0, [], [], 0
+        for pdf in batches:
+            for i, t in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), strict=True):
+                ids.append(None if i is None or i != i else int(i))
+                texts.append(t)
+                step += len(t) if t else 1
+                if step >= min(STEP, pack_bytes):
+                    pack.add(ids, texts)
+                    size, step, ids, texts = size + step, 0, [], []
+                    if size >= pack_bytes or len(pack.ids) >= PACK_DOCS:
+                        yield pd.DataFrame([pack.row()], columns=names)
+                        pack, size = Pack(shingle, halves, width, hashed), 0
+        if ids:
+            pack.add(ids, texts)
+        if pack.ids:
+            yield pd.DataFrame([pack.row()], columns=names)
+
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return common.checkpointed(slim.mapInPandas(rows, _PACKED).withColumn("shelf", F.monotonically_increasing_id()))
+
+
+def _each(pdf: pd.DataFrame, halves: int):
+    """(class hashes, class ids, sizes, half keys, bitmaps) of the packs of a frame."""
+    for h, i, n, half, bits in zip(pdf["class_hash"], pdf["class_id"], pdf["class_n"], pdf["half"], pdf["bits"], strict=True):
+        yield np.frombuffer(h, np.int64), np.frombuffer(i, np.int64), np.frombuffer(expand(n), np.int64), np.frombuffer(half, np.uint64).reshape(-1, 2 * halves), np.frombuffer(bits, np.int64).reshape(-1, SKETCH)
+
+
+def _documents(packs: DataFrame, hashed: bool) -> DataFrame:
+    """(doc_id, n_shingles, h1) of every document, and text_md5 if hashed."""
+
+    def rows(batches):
+        for pdf in batches:
+            for n, ids, sizes, hashes, md5s in zip(pdf["n_docs"].tolist(), pdf["ids"], pdf["sizes"], pdf["hashes"], pdf["md5s"], strict=True):
+                raw = expand(ids)
+                known, nulls = np.frombuffer(raw[: 8 * n], np.int64), np.frombuffer(raw[8 * n :], np.uint8)
+                out = pd.DataFrame({"doc_id": pd.array(known, "Int64"), "n_shingles": np.frombuffer(expand(sizes), np.int64), "h1": np.frombuffer(hashes, np.int64)})
+                out.loc[nulls == 1, "doc_id"] = pd.NA
+                if hashed:
+                    at, own = n, []
+                    for there in np.frombuffer(md5s[:n], np.uint8).tolist():
+                        own.append(md5s[at : at + 16].hex() if there else None)
+                        at += 16 * there
+                    out["text_md5"] = own
+                yield out
+
+    return packs.select("n_docs", "ids", "sizes", "hashes", "md5s").mapInPandas(rows, "doc_id long, n_shingles long, h1 long" + (", text_md5 string" if hashed else ""))
+
+
+def _split(codes: np.ndarray, top: int, bits: int):
+    """(bucket, codes) of ascending codes of `top` bits, by their first `bits`."""
     if not len(codes):
         return
-    bucket = (codes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(codes), np.int64)
+    bucket = (codes >> np.uint64(top - bits)).astype(np.int64) if bits else np.zeros(len(codes), np.int64)
     cut = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(codes)], strict=True):
         yield int(bucket[a]), codes[a:b]
 
 
-def _shared_keys(shelved: DataFrame, shingle: int, halves: int, width: int, bits: int) -> DataFrame:
-    """(shelf, bucket, codes): the table keys of a shelf that two of its classes or another shelf have."""
+def _shared_codes(packs: DataFrame, halves: int, top: int, bits: int) -> DataFrame:
+    """(shelf, bucket, codes): the leading bits of those table keys of a pack that two of its classes or another pack have."""
 
     def send(batches):
         for pdf in batches:
-            for shelf, (ids, texts) in zip(pdf["shelf"].tolist(), shelves.each(pdf), strict=True):
-                s = Shelf(ids, texts, shingle)
-                codes, n = np.unique(table_keys(s.value, s.first, halves, width), return_counts=True)
-                again = dict(_split(codes[n > 1], bits))
+            for shelf, (_, _, _, half, _) in zip(pdf["shelf"].tolist(), _each(pdf, halves), strict=True):
+                codes, n = np.unique(table_keys(half) >> np.uint64(64 - top), return_counts=True)
+                again = dict(_split(codes[n > 1], top, bits))
                 none = np.zeros(0, np.uint64)
-                rows = [(shelf, b, squeeze(pack_sorted(c)), squeeze(pack_sorted(again.get(b, none)))) for b, c in _split(codes, bits)]
+                rows = [(shelf, b, squeeze(pack_sorted(c)), squeeze(pack_sorted(again.get(b, none)))) for b, c in _split(codes, top, bits)]
                 yield pd.DataFrame(rows, columns=["shelf", "bucket", "codes", "again"])
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -136,34 +239,28 @@ def _shared_keys(shelved: DataFrame, shingle: int, halves: int, width: int, bits
         rows = [(shelf, bucket, squeeze(pack_sorted(own))) for shelf, bucket, c in zip(pdf["shelf"].tolist(), pdf["bucket"].tolist(), lists, strict=True) if len(own := c[member(c, shared)])]
         return pd.DataFrame(rows, columns=["shelf", "bucket", "codes"])
 
-    sent = shelved.mapInPandas(send, "shelf long, bucket int, codes binary, again binary")
+    sent = packs.select("shelf", "class_hash", "class_id", "class_n", "half", "bits").mapInPandas(send, "shelf long, bucket int, codes binary, again binary")
     return sent.groupBy("bucket").applyInPandas(answer, "shelf long, bucket int, codes binary")
 
 
-def _signed(shelved: DataFrame, shared: DataFrame, shingle: int, halves: int, width: int, hashed: bool) -> DataFrame:
-    """(doc_id, n_shingles, h1, keys, shingles, bits) of every document; the last three only for the first of its class in a shelf, if it shares a key; text_md5 if hashed."""
+def _leads(packs: DataFrame, shared: DataFrame, halves: int, top: int) -> DataFrame:
+    """(node, doc_id, n, keys, half, bits) of the classes of each pack that share a key: half holds 32 bits of each half key."""
 
     def last(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            raise RuntimeError("an answer came back for a pack that isn't there")
         known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(expand(x)) for x in right["codes"])]))
         rows: list[tuple] = []
-        for ids, texts in shelves.each(left):
-            s = Shelf(ids, texts, shingle)
-            keys: list = [None] * len(ids)
-            sets: list = [None] * len(ids)
-            bits: list = [None] * len(ids)
-            table = table_keys(s.value, s.first, halves, width)
-            hit = member(table.ravel(), known).reshape(table.shape)
-            for k, i in enumerate(s.lead.tolist()):
-                if hit[k].any():
-                    keys[i] = np.unique(table[k][hit[k]]).view(np.int64)
-                    own = s.value[s.first[k] : s.first[k + 1]]
-                    sets[i], bits[i] = pack_sorted(own), sketch(own)
-            more = [[None if t is None else hashlib.md5(encode(t)).hexdigest() for t in texts]] if hashed else []
-            rows += zip(ids, s.size.tolist(), s.set_hash.tolist(), keys, sets, bits, *more, strict=True)
-        out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "keys", "shingles", "bits", *(["text_md5"] if hashed else [])])
-        return out.astype({"doc_id": "Int64"})
-
-    return shelved.groupBy("shelf").cogroup(shared.groupBy("shelf")).applyInPandas(last, "doc_id long, n_shingles long, h1 long, keys array<long>, shingles binary, bits array<long>" + (", text_md5 string" if hashed else ""))
+        for h, ids, n, half, bits in _each(left, halves):
+            for i in range(0, len(h), 512):
+                table = table_keys(half[i : i + 512])
+                hit = member((table >> np.uint64(64 - top)).ravel(), known).reshape(table.shape)
+                short = (half[i : i + 512] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                rows += [(int(h[i + k]), int(ids[i + k]), int(n[i + k]), np.unique(table[k][hit[k]]).view(np.int64), short[k], bits[i + k]) for k in np.flatnonzero(hit.any(1)).tolist()]
+        return pd.DataFrame(rows, columns=["node", "doc_id", "n", "keys", "half", "bits"])
+
+    slim = packs.select("shelf", "class_hash", "class_id", "class_n", "half", "bits")
+    return slim.groupBy("shelf").cogroup(shared.groupBy("shelf")).applyInPandas(last, "node long, doc_id long, n long, keys array<long>, half array<int>, bits array<long>")
 
 
 def _alike_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -176,75 +273,122 @@ def _alike_sketches(a: Column, b: Column, sizes: Column, percent: int) -> Column
     return differ * (100 + percent) <= sizes * (100 - percent)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(p, q) of those rows of (a, b, p, q) where the full sets of a and b are alike enough."""
+def _first_shared(a: Column, b: Column, key: Column, halves: int) -> Column:
+    """True in the table of the first half keys that both have, of either collection: a pair meets in no other one."""
+    table = key.bitwiseAND(F.lit((1 << table_bits(halves)) - 1))
+
+    def first(k: int) -> Column:
+        return F.coalesce(*(F.when(a[k + i] == b[k + i], F.lit(i)) for i in range(halves)))
+
+    return (first(0) == F.floor(table / halves)) & (first(halves) == table % halves)
+
+
+def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(p, q) of those rows of pairs (a, doc_a, p, b, doc_b, n_b, q) where the full sets of a and b are alike enough.
+
+    Sets are made from the texts of the documents that pairs name, and each goes where it is compared; a is compared in as
+    many places as its partners' shingles fill.
+    """
+    pairs = common.checkpointed(pairs)
+    places = common.checkpointed(pairs.groupBy("a").agg(F.ceil(F.sum("n_b") / LOAD).cast("int").alias("places"), F.min("doc_a").alias("doc_id"), F.min("p").alias("component")))
+    partners = pairs.join(places.select("a", "places"), "a").select(F.col("doc_b").alias("doc_id"), "a", F.pmod(F.xxhash64("b"), F.col("places")).cast("int").alias("place"), F.lit(0).alias("is_a"), F.col("b").alias("node"), F.col("q").alias("component"))
+    own = places.select("doc_id", "a", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.lit(1).alias("is_a"), F.col("a").alias("node"), "component")
+    wanted = common.checkpointed(partners.unionByName(own))
+    ids = wanted.select("doc_id").distinct()
+
+    def sets(batches):
+        for batch in (part for whole in batches for part in common.slices(whole)):
+            value, first = shingle_sets(batch.column("text").to_pylist(), shingle)
+            data = [pack_sorted(value[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(set_hashes(value, first)), pa.array(data, pa.binary())], ["doc_id", "node", "shingles"])
 
     def verify(batches):
+        at, left, p = None, None, 0
         for pdf in batches:
-            cache: dict[int, np.ndarray] = {}
-            keep = np.zeros(len(pdf), bool)
-            for k, (a, x, y) in enumerate(zip(pdf["a"].tolist(), pdf["x"], pdf["y"], strict=True)):
-                if a not in cache:
-                    cache = {a: unpack_sorted(x)}
-                left, right = cache[a], unpack_sorted(y)
+            links: list[tuple[int, int]] = []
+            for a, place, is_a, component, data in zip(pdf["a"].tolist(), pdf["place"].tolist(), pdf["is_a"].tolist(), pdf["component"].tolist(), pdf["shingles"], strict=True):
+                if is_a:
+                    at, left, p = (a, place), unpack_sorted(data), component
+                    continue
+                if (a, place) != at:
+                    raise RuntimeError("a text that was there in the first pass isn't there any more")
+                right = unpack_sorted(data)
                 both = int(member(right, left).sum())
-                keep[k] = 100 * both >= percent * (len(left) + len(right) - both)
-            yield pdf.loc[keep, ["p", "q"]]
+                if 100 * both >= percent * (len(left) + len(right) - both):
+                    links.append((p, component))
+            yield pd.DataFrame(links, columns=["p", "q"], dtype="int64")
 
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    with_a = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    return with_a.select("a", "p", "q", "x", "y").mapInPandas(verify, "p long, q long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    named = texts.join(F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    made = named.mapInArrow(sets, "doc_id long, node long, shingles binary").groupBy("doc_id", "node").agg(F.first("shingles").alias("shingles"))  # repeated rows count once
+    dealt = made.join(wanted, ["doc_id", "node"]).select("a", "place", "is_a", "component", "shingles")
+    return dealt.repartition("a", "place").sortWithinPartitions("a", "place", F.desc("is_a")).mapInPandas(verify, "p long, q long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, width: int = WIDTH, shelf_bytes: int = shelves.SHELF_BYTES, hashed: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, width: int = WIDTH, shelf_bytes: int = PACK_BYTES, hashed: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row; if hashed, text_md5 as well, which tells rows of one id apart.
 
     Null and blank texts have no shingles and link with nothing; a text of fewer words than a shingle has is one shingle
     by itself. Rows of one id are one document for its links: they get the same component only if their sets link. Rows
     without an id link with nothing and are kept under a null component. An empty table gives no rows; other columns
-    aren't read.
+    aren't read. docs is read twice or more and has to hold the same rows each time; if it doesn't, an error says so.
     """
-    bits = shelves.buckets(common.text_bytes(docs))
-    shelved = shelves.shelve(docs, shelf_bytes=shelf_bytes)
-    signed = common.checkpointed(_signed(shelved, _shared_keys(shelved, shingle, halves, width, bits), shingle, halves, width, hashed))
+    n_keys = max(1, docs.count()) * halves * halves
+    bits, top = common.bits_for(common.ceil_div(n_keys, BUCKET_KEYS)), min(64 - table_bits(halves), SPARE_BITS + common.bits_for(n_keys))
+    packs = _packs(docs, shingle, halves, width, shelf_bytes, hashed)
+    documents = _documents(packs, hashed)
 
     # a class is known by its set's hash; rows of equal sets are equal for all that follows
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("h1").agg(F.min("doc_id").alias("rep"))
-    leads = signed.where("keys is not null").join(classes, "h1").where(F.col("doc_id") == F.col("rep"))
-    leads = common.checkpointed(leads.select(F.col("h1").alias("node"), "n_shingles", "keys", "shingles", "bits").dropDuplicates(["node"]))
-    sets = leads.select("node", "shingles")
-    keyed = leads.select(F.explode("keys").alias("key"), F.col("node").alias("b"), F.col("n_shingles").alias("n_b"))
-
-    center = keyed.groupBy("key").agg(F.min(F.struct("b", "n_b")).alias("c"), F.count("*").alias("n")).where("n > 1")
-    starred = keyed.join(center, "key").where((F.col("c.b") != F.col("b")) & _alike_sizes(F.col("c.n_b"), F.col("n_b"), percent))
-    pairs = starred.select(F.col("c.b").alias("a"), "b").distinct()
-    joined = components(_confirmed(pairs.select("a", "b", F.col("a").alias("p"), F.col("b").alias("q")), sets, percent), "p", "q")
-
-    # what the stars left open: tables that hold more than one component
-    labelled = keyed.join(joined.withColumnRenamed("id", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
-    sized = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+    classes = common.checkpointed(documents.where("n_shingles > 0 and doc_id is not null").groupBy("h1").agg(F.min("doc_id").alias("rep")))
+    leads = _leads(packs, _shared_codes(packs, halves, top, bits), halves, top).join(classes, F.col("node") == F.col("h1")).where(F.col("doc_id") == F.col("rep"))
+    leads = common.checkpointed(leads.select("node", "doc_id", "n", "keys", "half", "bits").dropDuplicates(["node"]))
+    common.release(docs.sparkSession)
+    labels = leads.select("node", F.col("node").alias("component"))
+
+    def side(name: str, *more: str) -> DataFrame:
+        return leads.select(F.col("node").alias(name), F.col("doc_id").alias(f"doc_{name}"), F.col("n").alias(f"n_{name}"), *(F.col(c).alias(f"{c}_{name}") for c in more))
+
+    def rows() -> DataFrame:
+        """(key, node, n, m, component) of every table key of every class; m is how many keys the class has."""
+        return leads.select("node", "n", "keys").join(labels, "node").select(F.explode("keys").alias("key"), "node", "n", F.size("keys").alias("m"), "component")
+
+    def relabelled(links: DataFrame) -> DataFrame:
+        joined = components(links, "p", "q", least=False).select(F.col("id").alias("component"), F.col("component").alias("to"))
+        out = common.checkpointed(labels.join(joined, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+        common.release(docs.sparkSession)
+        return out
+
+    for rank in (-F.col("m"), F.xxhash64("node", "key")):
+        met = rows().groupBy("key").agg(F.min(F.struct(rank.cast("long").alias("rank"), "node", "n", "component")).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        centres = common.checkpointed(met.where("lo <> hi").select("key", F.col("c.node").alias("a"), F.col("c.n").alias("size_a"), F.col("c.component").alias("p")))
+        starred = rows().join(centres, "key").where((F.col("p") != F.col("component")) & _alike_sizes(F.col("size_a"), F.col("n"), percent))
+        pairs = starred.groupBy("a", F.col("node").alias("b"), "p", F.col("component").alias("q")).agg(F.count("*").alias("tables"))
+        pairs = pairs.join(side("a", "bits"), "a").join(side("b", "bits"), "b").where(_alike_sketches(F.col("bits_a"), F.col("bits_b"), F.col("n_a") + F.col("n_b"), percent))
+        best = pairs.groupBy("b").agg(F.max_by(F.struct("a", "doc_a", "p", "doc_b", "n_b", "q"), F.struct("tables", "a")).alias("s")).select("b", "s.*")
+        labels = relabelled(_confirmed(docs, best, shingle, percent))
+
+    # what both rounds left open: tables that hold more than one component
+    sized = rows().groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = sized.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n_components")).where("n_components > 1")
-    open_rows = common.checkpointed(labelled.join(mixed.select("key", "main"), "key"))
-    both = open_rows.join(leads.select(F.col("node").alias("b"), "bits"), "b")
-    stray = both.where(F.col("component") != F.col("main")).select("key", F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("component").alias("component_a"), F.col("bits").alias("bits_a"))
+    open_rows = common.checkpointed(rows().join(common.checkpointed(mixed.select("key", "main")), "key").select("key", F.col("node").alias("b"), F.col("component").alias("q"), "main"))
+    both = open_rows.join(side("b", "half", "bits"), "b")
+    stray = open_rows.where("q <> main").select("key", F.col("b").alias("a"), F.col("q").alias("p")).join(side("a", "half", "bits"), "a")
     across = both.join(stray, "key").where(
-        (F.col("component") != F.col("component_a"))
-        & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
+        (F.col("p") != F.col("q"))
+        & ((F.col("q") == F.col("main")) | (F.col("a") < F.col("b")))
         & _alike_sizes(F.col("n_a"), F.col("n_b"), percent)
-        & _alike_sketches(F.col("bits_a"), F.col("bits"), F.col("n_a") + F.col("n_b"), percent)
+        & _first_shared(F.col("half_a"), F.col("half_b"), F.col("key"), halves)
+        & _alike_sketches(F.col("bits_a"), F.col("bits_b"), F.col("n_a") + F.col("n_b"), percent)
     )
-    more = across.select("a", "b", F.col("component_a").alias("p"), F.col("component").alias("q")).distinct()
-    # links between components, so what is left to join is small
-    merged = components(_confirmed(more, sets, percent), "p", "q")
-
-    first = classes.join(joined.withColumnRenamed("id", "h1"), "h1", "left").withColumn("before", F.coalesce("component", "h1")).drop("component")
-    nodes = first.join(merged.withColumnRenamed("id", "before"), "before", "left").withColumn("component", F.coalesce("component", "before"))
-    least = nodes.groupBy("component").agg(F.min("rep").alias("of_class"))
-    more = ["text_md5"] if hashed else []
-    out = signed.select("doc_id", "n_shingles", "h1", *more).join(nodes.join(least, "component").select("h1", "of_class"), "h1", "left")
+    labels = relabelled(_confirmed(docs, across.select("a", "doc_a", "p", "b", "doc_b", "n_b", "q"), shingle, percent))
+
+    first = labels.join(classes, F.col("node") == F.col("h1")).select("h1", "rep", "component")
+    first = spread(first, first.groupBy("component").agg(F.min("rep").alias("of_class")), "component", "h1").select("h1", "of_class")
+    of_class = classes.join(first, "h1", "left").select("h1", F.coalesce("of_class", "rep").alias("of_class"))
+    out = documents.join(common.checkpointed(of_class), "h1", "left")
     linked = F.when(F.col("n_shingles") > 0, F.col("of_class"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(linked, "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), *more)
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), *(["text_md5"] if hashed else []))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
