@@ -44,7 +44,7 @@ STEP = 1 << 20
 #: Table keys a bucket gets, about, and bits of a key beyond those that number all keys: so few keys are shared by chance.
 BUCKET_KEYS, SPARE_BITS = 1 << 20, 18
 #: Shingles that are compared with one set in one place.
-LOAD = 1 << 19
+LOAD = 1 << 16
 #: Ids of texts to read again up to which their list is broadcast; a longer list is joined by a shuffle.
 BROADCAST_IDS = 200_000
 _RNG = np.random.Generator(np.random.PCG64(77))
