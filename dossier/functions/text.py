@@ -47,6 +47,11 @@ def first_text(*cs: Column | str) -> Column:
     return F.coalesce(*(filled(c) for c in cs), F.lit(""))
 
 
+def first_filled(*cs: Column | str) -> Column:
+    """The first text that isn't empty, without white space at its ends; its lines stay as they are."""
+    return trim(F.coalesce(*(F.nullif(blank(c), F.lit("")) for c in cs), F.lit("")))
+
+
 def values(c: Column | str) -> Column:
     """Squeezed members of an array that aren't blank, in order."""
     return F.filter(F.transform(F.coalesce(col(c), F.array().cast("array<string>")), squeeze), lambda x: x != "")
