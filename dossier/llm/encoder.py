@@ -29,8 +29,8 @@ _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Bytes as the vocabularies write them: printable ones as they are, the others from 256 on.
 _KEPT = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _PRINTABLE = {b: b for b in _KEPT} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _KEPT)}
-#: Entries of either half of the cache; only speed depends on it.
-CACHE = 150_000
+#: Entries of either half of the cache and characters of the words it keeps, which bound its memory; only speed depends on them.
+CACHE, CACHED = 100_000, 48
 
 
 def vocabulary_path(name: str) -> str:
@@ -130,7 +130,7 @@ class Encoder:
             out = [kept[w] if got is None else got for w, got in zip(words, out, strict=True)]
             if len(self.cache) + len(kept) > CACHE:  # words that come again move on, the others go with the older half
                 self.cache, self.older = {}, self.cache
-            self.cache.update(kept)
+            self.cache.update((w, got) for w, got in kept.items() if len(w) <= CACHED)
         return out
 
     def ids(self, text: str | None) -> bytes:

@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import zlib
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from .encoder import WORD_FILE, encoder, vocabulary_path
 CAPACITY = 2048
 #: Groups within a length that are ranked by themselves, so no length goes to one task.
 SALTS = 64
+_PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 class CapacityTree:
@@ -91,18 +91,16 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
 
     def encode(batches):
         e, end = encoder(path), end_id.to_bytes(4, "little")
-        for pdf in batches:
+        for batch in (part for whole in batches for part in common.slices(whole)):
             rows = []
-            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), strict=True):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = e.ids(text) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _PIECE.types, strict=True)], schema=_PIECE)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:

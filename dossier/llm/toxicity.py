@@ -1,8 +1,9 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over word and character inputs, in numpy.
 
 A word's input is its own vector (hashed) beside the mean of the vectors of its character n-grams (hashed as well), so forms
-that weren't seen are judged by their letters. Long words are read piece by piece with all their n-grams. Windows of WINDOW words, each beginning STRIDE words after the one before,
-cover every text. Two gated recurrent units read a window from both ends; attention weighs their states into one
+that weren't seen are judged by their letters. Words and n-grams of fewer than LEAST documents of the sample have no vector.
+Long words are read piece by piece with all their n-grams. Windows of WINDOW words, each beginning STRIDE words after the
+one before, cover every text. Two gated recurrent units read a window from both ends; attention weighs their states into one
 vector, a linear layer gives the window's logit. A document's score is the logistic of a line fitted to its highest logit.
 
 Training uses a bounded sample of labelled documents. The first round learns from random windows; later ones from the
@@ -14,7 +15,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +23,8 @@ from . import common
 from .wordhash import _LOWER, NOT_WORD, batches, hash_spans, mix, spans
 
 WINDOW, STRIDE = 32, 16
-#: Bound of the training sample, for each label.
-PER_LABEL = 900
+#: Bounds of the training sample: documents of each label, and bytes of a text to learn from (longer ones are scored whole like all others).
+PER_LABEL, LEARN_BYTES = 900, 1 << 18
 #: Passes over the sample, and steps at least; a step takes 64 documents.
 ROUNDS, STEPS = 5, 140
 #: Words and n-grams of fewer documents of the sample have no vector, so nothing is learned by heart.
@@ -311,7 +311,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Net
     n = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, per_label / max(1, n.get(1, 0)))).otherwise(min(1.0, per_label / max(1, n.get(0, 0))))
     picked = usable.where(common.sample_share(share, "doc_id"))  # 2 * per_label rows, a little more or less
-    sample = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")
+    sample = docs.where(F.octet_length("text") <= LEARN_BYTES).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")
     return common.trained(sample, lambda rows: fit(rows["text"], rows["toxic"]), ["doc_id", "text"])
 
 
@@ -325,12 +325,12 @@ def score(docs: DataFrame, labels: DataFrame | None = None, network: Network | N
     net = docs.sparkSession.sparkContext.broadcast(network or train(docs, labels))  # its size is fixed
 
     def rate(batches_):
-        m = net.value
-        for pdf in batches_:
-            s = m.scores(pdf["text"].tolist())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": s, "predicted": (s >= 0.5).astype(np.int32)})
+        for batch in batches_:
+            for part in common.slices(batch):
+                s = net.value.scores(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(rate, "doc_id long, score double, predicted int")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rate, "doc_id long, score double, predicted int")
     return out.select("doc_id", (common.fold() == 0).alias("held_out"), "score", "predicted")
 
 
@@ -340,7 +340,8 @@ def clean_only(docs: DataFrame, labels: DataFrame | None = None, network: Networ
 
     def keep(batches_):
         for batch in batches_:
-            yield batch.filter(pa.array(net.value.scores(batch.column("text").to_pylist()) < 0.5, pa.bool_()))
+            for part in common.slices(batch):
+                yield part.filter(pa.array(net.value.scores(part.column("text").to_pylist()) < 0.5, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

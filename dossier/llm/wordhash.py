@@ -14,7 +14,7 @@ _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64
 _BASE, _RUN_BASE = 0x9E3779B97F4A7C17, 0xC2B2AE3D27D4EB4B
 #: Bytes hashed at once; longer texts go through in such steps.
 _STEP = 1 << 19
-_BATCH_BYTES = 2 << 20
+_BATCH_BYTES = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -92,7 +92,7 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 def batches(texts: list[str | None]):
-    """(first, last, encoded texts) of pieces of about 2 MB."""
+    """(first, last, encoded texts) of pieces of about half a megabyte."""
     i = 0
     while i < len(texts):
         j, size, part = i, 0, []
