@@ -10,8 +10,8 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +19,8 @@ from . import common
 from .wordhash import _LOWER, encode
 
 DIMS = 1 << 12
-#: Bound of the training sample: documents of each language, and languages.
-PER_LANGUAGE, LANGUAGES = 400, 200
+#: Bound of the training sample: documents of each language.
+PER_LANGUAGE = 400
 UNKNOWN = "und"
 #: Families by language code; other codes are a family of their own.
 FAMILIES = {
@@ -34,7 +34,7 @@ FAMILIES = {
     "celtic": "br cy ga gd",
     "baltic": "lt lv",
 }
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def family_of(lang: str) -> str:
@@ -125,13 +125,17 @@ class LanguageModel:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """Fitted on at most about per_language documents of each language, none of them held out; which ones follows a hash of the id."""
+    """Fitted on at most about per_language documents of each language, none of them held out; which ones follows a hash of the id.
+
+    Every language is learned. The driver holds the list of languages and the model, which has DIMS weights for each family
+    and each pair of languages of one family.
+    """
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (common.fold() != 0)).select("doc_id", "text", "lang")
-    n = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    n = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not n:
         return LanguageModel.train([], [])
     share = F.create_map(*(F.lit(v) for k, c in n.items() for v in (k, min(1.0, 1.1 * per_language / c))))
-    picked = usable.where(F.col("lang").isin(list(n)) & common.sample_share(share[F.col("lang")], "doc_id"))
+    picked = usable.where(common.sample_share(share[F.col("lang")], "doc_id"))
 
     def fit(rows: dict[str, list]) -> LanguageModel:
         kept, seen = [], dict.fromkeys(rows["lang"], 0)
@@ -155,11 +159,12 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 
     def predict(batches):
         m = model_ref.value
-        for pdf in batches:
-            got = [m.predict(t) for t in pdf["text"].tolist()]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]})
+        for batch in batches:
+            for part in common.slices(batch):
+                got = [m.predict(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(predict, "doc_id long, lang_pred string, score double")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(predict, "doc_id long, lang_pred string, score double")
     return out.select("doc_id", (common.fold() == 0).alias("held_out"), "lang_pred", "score")
 
 
@@ -169,8 +174,8 @@ def known_only(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame
 
     def keep(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield batch.filter(pa.array([model_ref.value.predict(t)[0] != UNKNOWN for t in texts], pa.bool_()))
+            for part in common.slices(batch):
+                yield part.filter(pa.array([model_ref.value.predict(t)[0] != UNKNOWN for t in part.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
