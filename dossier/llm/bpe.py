@@ -2,13 +2,16 @@
 
 Documents are packed into shelves. Each shelf sends its distinct pre-tokens, by a hash of the word, to buckets; a bucket
 encodes each distinct word once for the whole corpus and answers each shelf with the ids of its words, in the order they were
-sent. The shelf joins ids back by position. Decoding looks each id up among the vocabulary's pieces (a table as long as the
-vocabulary). Words travel sorted and compressed, once for each shelf however often they stand in it.
+sent. The shelf joins ids back by position. Decoding joins the ids of a document, in their order, with the table of pieces
+by id: the table is as long as the vocabulary, so it is held by each task as one run of bytes with the place of each piece,
+and the join is made for a whole document at once. decode_documents() is the same join as DataFrames. Words travel sorted
+and compressed, once for each shelf however often they stand in it.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, shelves
-from .encoder import BYTE_FILE, encoder, vocabulary_path
+from .encoder import BYTE_FILE, Encoder, encoder, vocabulary_path
 from .shelves import expand, squeeze
 from .wordhash import encode, from_planes, planes
 
@@ -67,8 +70,7 @@ def _joined(shelved: DataFrame, word_ids: DataFrame, path: str, bits: int, finis
     """finish(doc ids, texts, words of a text, ids by word) for each shelf, once the ids of its words have come back."""
 
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left):
-            raise RuntimeError("ids came back for a shelf that isn't there; its input changed between two reads")
+        shelves.paired(left)
         answers = {b: (expand(n), expand(i)) for b, n, i in zip(right["bucket"].tolist(), right["n_ids"], right["word_ids"], strict=True)}
         e, rows = encoder(path), []
         for k, (ids, texts) in enumerate(shelves.each(left)):
@@ -92,6 +94,24 @@ def _joined(shelved: DataFrame, word_ids: DataFrame, path: str, bits: int, finis
     return left.cogroup(word_ids.groupBy("shelf")).applyInPandas(join, schema)
 
 
+@lru_cache(4)
+def piece_places(e: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The id-to-piece table: all pieces one after the other, and where the piece of each id begins and how long it is."""
+    size = np.array([len(p) for p in e.pieces], np.int64)
+    return np.frombuffer(b"".join(e.pieces), np.uint8), np.cumsum(size) - size, size
+
+
+def joined_pieces(ids: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray, step: int = 1 << 16) -> bytes:
+    """The pieces of these ids, in order; `step` ids at a time."""
+    out = []
+    for i in range(0, len(ids), step):
+        part = ids[i : i + step]
+        n = size[part]
+        shift = np.repeat(start[part] - (np.cumsum(n) - n), n)
+        out.append(data[np.arange(len(shift)) + shift].tobytes())
+    return b"".join(out)
+
+
 def round_trip(docs: DataFrame, path: str | None = None, shelf_bytes: int = SHELF_BYTES) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row.
 
@@ -104,12 +124,10 @@ def round_trip(docs: DataFrame, path: str | None = None, shelf_bytes: int = SHEL
     shelved = shelves.shelve(docs, shelf_bytes=shelf_bytes)
 
     def finish(e, ids, texts, table):
-        pieces = e.pieces
-        decoded = {w: b"".join([pieces[i] for i in np.frombuffer(x, "<u4").tolist()]) for w, x in table.items()}
+        pieces = piece_places(e)
         for doc_id, text in zip(ids, texts, strict=True):
-            words = e.words(text) if text else []
-            got = b"".join([table[w] for w in words])
-            back = b"".join([decoded[w] for w in words]).decode("utf-8", "replace").encode()
+            got = b"".join([table[w] for w in e.words(text)]) if text else b""
+            back = joined_pieces(np.frombuffer(got, "<u4"), *pieces).decode("utf-8", "replace").encode()
             yield doc_id, len(got) // 4, hashlib.sha256(got).hexdigest(), hashlib.sha256(back).hexdigest()
 
     return _joined(shelved, _word_ids(shelved, path, bits), path, bits, finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

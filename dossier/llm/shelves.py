@@ -72,6 +72,12 @@ def shelve(docs: DataFrame, partitions: int | None = None, shelf_bytes: int = SH
     return packed.repartition(partitions, "shelf") if partitions else packed.repartition("shelf")
 
 
+def paired(shelves: pd.DataFrame) -> None:
+    """Ends the job where an answer has no shelf: a task that ran again packed its rows in another way, so shelves were lost."""
+    if not len(shelves):
+        raise RuntimeError("an answer came back for a shelf that isn't there; its input changed between two reads")
+
+
 def each(pdf: pd.DataFrame):
     """(doc ids, texts) of the shelves in a frame."""
     for ids, sizes, blob in zip(pdf["ids"], pdf["sizes"], pdf["blob"], strict=True):

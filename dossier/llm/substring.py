@@ -118,6 +118,7 @@ def _repeats(shelved: DataFrame, shared: DataFrame, window: int, top: int, bits:
     """(shelf, bucket, codes, everywhere): the windows of a shelf that repeat; everywhere tells those that a document with a smaller id outside the shelf has."""
 
     def send(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        shelves.paired(left)
         rows, hit = [], _codes(right)
         for shelf, (ids, texts) in zip(left["shelf"].tolist(), shelves.each(left), strict=True):
             s = Shelf(ids, texts, window)
@@ -167,6 +168,7 @@ def _apply(shelved: DataFrame, repeats: DataFrame, window: int, finish, schema:
     """finish(shelf, places of windows that go) for each shelf."""
 
     def last(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        shelves.paired(left)
         h1 = [from_planes(expand(x), np.uint64) for x in right["h1"]]
         h2 = [from_planes(expand(x), np.uint32) for x in right["h2"]]
         far = [np.unpackbits(np.frombuffer(expand(x), np.uint8), count=len(n)).astype(bool) for x, n in zip(right["elsewhere"], h1, strict=True)]
@@ -236,7 +238,8 @@ def removed_words(docs: DataFrame, window: int = WINDOW, shelf_bytes: int = shel
 
     Null and empty texts have no words. Rows without an id lose nothing and nothing is removed because of them; rows with
     the same id count as one document for each other, so neither loses words to the other. Other columns aren't read; an
-    empty table gives no rows.
+    empty table gives no rows. docs has to give its rows in the same order whenever a part of it is read again, as a
+    written table does; if it doesn't, the job ends with an error.
     """
 
     def finish(s: Shelf, gone: np.ndarray):
