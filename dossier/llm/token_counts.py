@@ -2,7 +2,8 @@
 
 A document's pre-tokens are kept in leaves of a segment tree whose nodes hold sums of characters and tokens. An edit finds
 its leaves by character position, splits and encodes only the text of these leaves with boundary context on both sides, and
-updates the sums on the way to the root. Splitting is without memory between pre-tokens, so once a boundary falls on the
+updates the sums on the way to the root; where leaves grow too large they are cut and the tree above them is laid out anew
+from the sums that other leaves have already. Splitting is without memory between pre-tokens, so once a boundary falls on the
 start of an old leaf beyond the edit, all that follows is as before.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from . import common
 from .encoder import BYTE_FILE, Encoder, encoder, vocabulary_path
 
-#: Pre-tokens in a new leaf, and times that number at which a leaf has grown too large and the tree is laid out anew.
+#: Pre-tokens in a new leaf, and times that number at which a leaf has grown too large and is cut into new ones.
 LEAF, GROWN = 64, 4
 
 
@@ -28,17 +29,24 @@ class TokenTree:
         #: What splitting at one place can depend on: a special token's length, and two characters beyond white space.
         self.context = 2 + max(map(len, e.special), default=0)
         self.reencoded = 0
-        self._layout(e.words(text))
+        words = e.words(text)
+        self._layout(self._cut(words))
 
     def _count(self, words: list[str]) -> int:
         return sum(map(len, self.e.word_bytes(words))) // 4
 
-    def _layout(self, words: list[str]) -> None:
-        self.leaves = [words[i : i + LEAF] for i in range(0, len(words), LEAF)] or [[]]
+    def _cut(self, words: list[str]) -> list[tuple[list[str], int, int]]:
+        """(words, characters, tokens) of new leaves."""
+        parts = [words[i : i + LEAF] for i in range(0, len(words), LEAF)]
+        return [(part, sum(map(len, part)), self._count(part)) for part in parts]
+
+    def _layout(self, leaves: list[tuple[list[str], int, int]]) -> None:
+        """A tree over these leaves; what they hold is known already, so nothing is encoded here."""
+        leaves = leaves or [([], 0, 0)]
+        self.leaves = [leaf[0] for leaf in leaves]
         self.base = 1 << (len(self.leaves) - 1).bit_length()
         self.sums = np.zeros((2 * self.base, 2), np.int64)  # characters, tokens
-        for i, leaf in enumerate(self.leaves):
-            self.sums[self.base + i] = sum(map(len, leaf)), self._count(leaf)
+        self.sums[self.base : self.base + len(leaves)] = [leaf[1:] for leaf in leaves]
         level = self.base
         while level > 1:
             self.sums[level // 2 : level] = self.sums[level : 2 * level].reshape(-1, 2, 2).sum(1)
@@ -109,8 +117,8 @@ class TokenTree:
         self.reencoded += len(words)
         n_leaves = end - first
         if len(words) > GROWN * LEAF * n_leaves:
-            head, tail = self.leaves[:first], self.leaves[end:]
-            self._layout([w for leaf in head for w in leaf] + words + [w for leaf in tail for w in leaf])
+            known = [(leaf, *map(int, self.sums[self.base + i])) for i, leaf in enumerate(self.leaves)]
+            self._layout(known[:first] + self._cut(words) + known[end:])
             return self.n_tokens
         per = common.ceil_div(len(words), n_leaves)
         for k in range(n_leaves):
