@@ -37,7 +37,7 @@ def unit(rows: list) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
-    """(vec_id, v): vectors that can be compared. Of rows with the same id the least vector stands for all; those of another length than the most frequent link with nothing."""
+    """(vec_id, v): vectors that can be compared. Of rows with the same id the least vector stands for all."""
     v = F.transform(embedding, lambda x: x.cast("double"))
     fine = vectors.where(F.col("vec_id").isNotNull() & F.col(embedding).isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -93,23 +93,14 @@ def tile_links(res: np.ndarray, vis: np.ndarray | None, threshold: float) -> tup
     return n, label
 
 
-def near_vectors(vectors: DataFrame, threshold: float = COSINE, tile: int = TILE, embedding: str = "embedding") -> DataFrame:
-    """vec_id, n_links, component_id, kept of every row.
-
-    Null, zero and non-finite vectors link with nothing; rows without an id too, and have a null component and are kept.
-    Rows with the same id are one vector. Ties at the threshold link. An empty table gives no rows; other columns aren't
-    read.
-    """
+def _found(fine: DataFrame, total: int, threshold: float, tile: int) -> DataFrame:
+    """(vec_id, n, to): numbers of links and spanning forests, tile by tile, of `total` vectors of one length."""
     radius = float(np.arccos(threshold))
-    fine = usable(vectors, embedding)
-    lengths = fine.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
-    total, dims = (lengths[0]["n"], lengths[0]["d"]) if lengths else (0, 0)
-    fine = common.checkpointed(fine.where(F.size("v") == dims))
     picked = sorted(fine.where(common.sample_share(F.lit(min(1.0, SAMPLE / max(1, total))), "vec_id")).collect())[: 2 * SAMPLE]
     sample = unit([r["v"] for r in picked]) if picked else np.zeros((0, 1))
     want = max(1, min(PIVOTS, total // tile))
     pivots = choose_pivots(sample, want, radius) if len(sample) else sample
-    if len(picked) == 0 and total:  # a few rows, none of them in the sample
+    if len(picked) == 0:  # a few rows, none of them in the sample
         pivots = unit([fine.orderBy("vec_id").first()["v"]])
     gap = np.linalg.norm(pivots[:, None] - pivots[None], axis=2) * np.sin(radius) + _SLACK if len(pivots) else np.zeros((0, 0))
 
@@ -192,7 +183,23 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, tile: int = TILE
 
     dealt = fine.mapInPandas(deal, "cell int, kind int, a int, b int, visits int, vec_id long, v array<double>")
     found = dealt.groupBy("cell", "kind", "a", "b").applyInPandas(compare, "vec_id long, n long, to long")
-    found = common.checkpointed(found.unionByName(fine.mapInPandas(inside_core, "vec_id long, n long, to long")))
+    return common.checkpointed(found.unionByName(fine.mapInPandas(inside_core, "vec_id long, n long, to long")))
+
+
+def near_vectors(vectors: DataFrame, threshold: float = COSINE, tile: int = TILE, embedding: str = "embedding") -> DataFrame:
+    """vec_id, n_links, component_id, kept of every row.
+
+    Null, zero and non-finite vectors link with nothing; rows without an id too, and have a null component and are kept.
+    Rows with the same id are one vector. Vectors of each length are compared with each other, one length after another.
+    Ties at the threshold link; the threshold is above 0 and at most 1. An empty table gives no rows; other columns aren't
+    read.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("the triangle inequality bounds angles below a right one, so the threshold has to be above 0")
+    fine = common.checkpointed(usable(vectors, embedding))
+    found = fine.select("vec_id", F.lit(0).cast("long").alias("n"), F.col("vec_id").alias("to")).limit(0)
+    for r in sorted(fine.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()):  # a row for each length
+        found = found.unionByName(_found(fine.where(F.size("v") == r["d"]), r["n"], threshold, tile))
     n_links = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("to").alias("b"))).select(F.col("id").alias("vec_id"), "component")
     out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(n_links, "vec_id", "left").join(joined, "vec_id", "left")
