@@ -40,6 +40,66 @@ def test_toxicity_learns_from_letters(spark, corpus):
     assert {r["score"] for r in toxicity.score(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_gradients_of_the_network():
+    """A step moves each parameter against its gradient, as differences of the loss have it."""
+    rng = random.Random(7)
+    w = toxicity.Words.of([" ".join(words(rng, 40)).encode() for _ in range(3)])
+    text, ids = w.windows()
+    goal, weight = np.array([1.0, 0.0, 1.0], np.float32)[text], np.full(len(text), 0.7, np.float32)
+
+    def loss(net):
+        z = net.logits(w, ids).astype(np.float64)
+        return float((weight * (np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - goal * z)).sum())
+
+    net = toxicity.Network(3)
+    net._known = {"word": np.ones(1 << toxicity.WORD_BITS, bool), "gram": np.ones(1 << toxicity.GRAM_BITS, bool)}
+    before = {k: v.copy() for k, v in net.p.items()}
+    net.step(w, ids, goal, weight, rate=1e-12)
+    gradient = {k: np.sqrt(v) for k, v in net._mean.items()}  # after one step the sum of squares is the square
+    for name in ("wf", "wb", "uf", "ub", "cf", "cb", "a", "av", "o", "ob", "word", "gram"):
+        size = np.abs(gradient[name]).ravel()
+        for at in np.argsort(-size)[:3].tolist():
+            step, sides = 2e-3, []
+            for sign in (1, -1):
+                net.p = {k: v.copy() for k, v in before.items()}
+                net.p[name].ravel()[at] += sign * step
+                sides.append(loss(net))
+            assert abs((sides[0] - sides[1]) / (2 * step)) == pytest.approx(float(size[at]), rel=0.05, abs=2e-3), name
+
+
+def test_network_is_the_plain_recurrence():
+    """Logits in batches equal those of the recurrence written out for one window."""
+    rng, net = random.Random(8), toxicity.Network(5)
+    w = toxicity.Words.of([" ".join(words(rng, n)).encode() for n in (5, 32, 70)])
+    _, ids = w.windows()
+    x, got = net.inputs(w), net.logits(w, ids)
+
+    def sigmoid(v):
+        return 1 / (1 + np.exp(-v))
+
+    for row, logit in zip(ids, got, strict=True):
+        states, h8 = {}, toxicity.HIDDEN
+        for d in "fb":
+            h, places = np.zeros(h8), range(len(row)) if d == "f" else range(len(row) - 1, -1, -1)
+            for t in places:
+                g = x[row[t]] @ net.p[f"w{d}"] + net.p[f"c{d}"]
+                u = net.p[f"u{d}"]
+                z, r = sigmoid(g[:h8] + h @ u[:, :h8]), sigmoid(g[h8 : 2 * h8] + h @ u[:, h8 : 2 * h8])
+                h = h + z * (np.tanh(g[2 * h8 :] + (r * h) @ u[:, 2 * h8 :]) - h)
+                states[d, t] = h
+        s = np.array([np.concatenate([states["f", t], states["b", t]]) for t in range(len(row))])[row >= 0]
+        a = np.exp(np.tanh(s @ net.p["a"]) @ net.p["av"])
+        assert logit == pytest.approx(float((a / a.sum()) @ s @ net.p["o"] + net.p["ob"][0]), abs=1e-4)
+
+
+def test_toxicity_of_held_out_documents(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    got = [(truth[r["doc_id"]], r["predicted"]) for r in toxicity.op2_toxicity(spark, "/root/testdata/sf0.01").where("held_out").collect() if r["doc_id"] in truth]
+    assert len(got) > 50 and np.mean([a == b for a, b in got]) > 0.9
+    assert d.count() == toxicity.score(d, labels).count()
+
+
 def test_windows_cover_every_word():
     w = toxicity.Words.of([b"", b"a b", b" ".join(b"w%d" % i for i in range(100))])
     text, ids = w.windows()

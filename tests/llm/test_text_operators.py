@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from dossier.llm import bpe, langid, license_scan, minhash, packing, substring, token_counts
 from dossier.llm.encoder import BYTE_FILE, WORD_FILE, encoder, vocabulary_path
 
-from .brute import WORD, lower, near, repeats
+from .brute import WORD, Union, lower, near, repeats
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, labels string, shelf int"
 HELLO = "hello big wide world of words "
@@ -118,6 +118,7 @@ def test_language_odd(odd, empty):
     got = {r["doc_id"]: r for r in langid.identify(odd).collect()}
     assert {i for i, r in got.items() if r["lang_pred"] == "und"} == {1, 2, 7}
     assert langid.identify(empty).collect() == []
+    assert langid.LanguageModel(["a"], {"a": ["a"]}, np.zeros((0, 1)), {}).predict("½ ² ① Ⅷ 12 !")[0] == "und"
     assert 1 not in texts(langid.known_only(odd)) and 3 in texts(langid.known_only(odd))
     assert langid.family_of("de") == langid.family_of("en-GB") != langid.family_of("fr") and langid.family_of("xx") == "xx"
 
@@ -125,13 +126,16 @@ def test_language_odd(odd, empty):
 LICENSES = {
     1: "Released under the MIT License.\nmore", 2: "GNU GENERAL Public License, gnu general public license", 3: "a cc-by b CC BY", 4: "apache  license", 5: "the license apache", 6: None,
     7: license_scan.TEMPLATES["bsd"].replace("modification", "change"), 8: "x " * 500 + license_scan.TEMPLATES["isc"] + " y" * 300, 9: "redistribution and use of source",
+    11: "released under the bsd license today", 12: "licensed under the Eclipse Public License, Version 2.0", 13: "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 International License",
+    14: "under the terms of the GNU Lesser General Public License", 15: "a " * 300 + license_scan.TEMPLATES["mit-text"] + " b" * 300, 16: license_scan.TEMPLATES["bsd-3-text"].replace("copyright holder", "regents"), None: "under the MIT License, x", 17: "word " * 100_000 + "cc by",
 }
 
 
-def test_license_base_and_join(spark, docs):
+def test_license_base_and_join(spark, docs, odd, empty):
+    assert license_scan.scan(empty).collect() == [] and len(license_scan.scan(odd.union(odd)).collect()) == 2 * len(ROWS)
     made = spark.createDataFrame(list(LICENSES.items()), "doc_id long, text string")
     got = {r["doc_id"]: r for r in license_scan.scan(made).collect()}
-    assert got[7]["labels"] == "bsd" and "isc" in got[8]["labels"] and got[9]["labels"] == "" and got[6]["n_words"] == 0 and got[6]["first_word"] is None
+    assert got[7]["labels"] == "bsd" and "isc" in got[8]["labels"] and got[9]["labels"] == "" and all(got[i]["labels"] == "" and got[i]["score"] == 0 for i in (11, 12, 13, 14)) and {"mit", "mit-text"} <= set(got[15]["labels"].split(",")) and got[16]["labels"] == "bsd,bsd-3-text" and got[None]["base_labels"] == "mit" and got[6]["n_words"] == 0 and got[6]["first_word"] is None
     for df, found in ((made, got), (docs, {r["doc_id"]: r for r in license_scan.scan(docs).collect()})):
         for i, text in texts(df).items():
             w = WORD.findall(lower(text))
@@ -145,7 +149,7 @@ def test_license_base_and_join(spark, docs):
                 distinct, half = set(tw), 2 ** math.ceil(math.log2(len(tw)))
                 for b in range(0, max(1, len(w)), half):
                     share = len(distinct & set(w[b : b + 2 * half])) / len(distinct)
-                    if share >= license_scan.THRESHOLD:
+                    if share >= license_scan.THRESHOLD and f" {license_scan.NAMING[name]} " in f" {' '.join(w[b : b + 2 * half])} ":
                         best[name] = max(best.get(name, 0), share)
             assert r["labels"] == ",".join(sorted({x for _, x in at} | set(best)))
             assert r["score"] == pytest.approx(1.0 if at else max(best.values(), default=0.0))
@@ -170,6 +174,37 @@ def test_near_duplicates(spark, docs, odd, empty):
     assert by[1]["n_shingles"] == by[7]["n_shingles"] == 0 and by[6]["n_shingles"] == 1
 
 
+def test_every_near_copy_of_a_table_is_found(spark):
+    """All pairs of distinct shingle sets of sf0.01 at 0.8 or more, found without any candidate search, make the same components."""
+    d = texts(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    value, first = minhash.shingle_sets([d[i] for i in sorted(d)], 2)
+    order, holders = {v: k for k, v in enumerate(np.unique(value).tolist())}, {}
+    sets = [set(order[v] for v in value[first[k] : first[k + 1]].tolist()) for k in range(len(d))]
+    ids, u = sorted(d), Union(d)
+    links = 0
+    for k, own in enumerate(sets):  # sets of a similarity of 0.8 share one of the first fifth of either
+        for v in sorted(own)[: len(own) // 5 + 1]:
+            for j in holders.setdefault(v, []):
+                both = len(own & sets[j])
+                if 100 * both >= 80 * (len(own) + len(sets[j]) - both):
+                    links += 1
+                    u.join(ids[k], ids[j])
+            holders[v].append(k)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.op5_minhash_near_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert links > 100 and got == {i: u.find(i) for i in ids}
+
+
+def test_near_duplicates_of_one_hot_group(spark):
+    """Hundreds of copies with small changes, equal ones, and texts that share half of their words with all of them."""
+    rng, base = random.Random(5), [f"w{i}" for i in range(150)]
+    made = {i: " ".join(w if rng.random() > 0.02 else f"x{rng.randint(0, 9999)}" for w in base) for i in range(250)}
+    made |= {i: made[i % 7] for i in range(300, 350)}
+    made |= {i: " ".join(base[:75] + [f"y{i}x{k}" for k in range(75)]) for i in range(400, 450)}
+    df = spark.createDataFrame(list(made.items()), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(df, 2, shelf_bytes=1 << 13).collect()}
+    assert got == near(made, 2)
+
+
 def test_sketch_bound_is_exact():
     """Bitmaps never differ in more bits than the sets differ in shingles, so no pair that is alike enough is dropped."""
     rng = np.random.default_rng(3)
@@ -214,6 +249,18 @@ def test_token_trees():
                 assert tree.edit(p, r, put) == len(e.library.encode(s, add_special_tokens=False).ids) and tree.text == s
 
 
+def test_growth_encodes_only_what_is_new():
+    """A large insertion counts the words put in and some context, whatever the document's length."""
+    e = encoder(vocabulary_path(BYTE_FILE))
+    tree = token_counts.TokenTree("word " * 100_000, e)
+    encoded = []
+    count = tree._count
+    tree._count = lambda words: encoded.append(len(words)) or count(words)
+    n = tree.edit(250_000, 0, "new " * 2000)
+    assert sum(encoded) < 2000 + 4 * 64 * 4 and tree.reencoded < 2000 + 4 * 64 * 4
+    assert n == len(e.library.encode(tree.text, add_special_tokens=False).ids)
+
+
 def test_token_counts(spark, docs, odd, empty):
     t = library(BYTE_FILE)
     for df in (docs, odd):
