@@ -1,17 +1,16 @@
 """Same-event grouping: pairs by shared anchors or bigrams through equality joins, then the order-dependent grouping.
 
 Pairs of rows come from equal keys, so nothing is compared with everything. Groups follow the input order and never
-merge, which connected components bound: the fold runs inside each component, over its rows only.
+merge; they are found in rounds of joins (greedy.py).
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bigrams, let, letters, overlap
-from .graph import components
+from .greedy import joined_groups, led_groups
 
 TIERS = ["primary", "first_party", "secondary", "lead_only"]
 #: Fixed value: endings a company's name is known without.
@@ -68,23 +67,9 @@ def greedy_groups(rows: DataFrame, pairs: DataFrame, ord_: str = "ord", leaders:
     """(ord, group): each row in order joins the first group that holds a row it is paired with, else begins one.
 
     A group is named by its first row. With leaders only a group's first row counts, and `group` differs from `ord` for
-    rows that a leader stands for.
+    rows that a leader stands for. pairs (a, b) may repeat, run either way and join a row with itself.
     """
-    nodes = components(pairs, "a", "b")
-    linked = pairs.join(nodes.withColumnRenamed("id", "a"), "a").select("component", "a", "b")
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        near: dict[int, list[int]] = {}
-        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True):
-            near.setdefault(a, []).append(b)
-            near.setdefault(b, []).append(a)
-        group: dict[int, int] = {}
-        for o in sorted(near):
-            found = [group[n] for n in near[o] if n in group and n < o and (not leaders or group[n] == n)]
-            group[o] = min(found) if found else o
-        return pd.DataFrame({"o": list(group), "group": list(group.values())})
-
-    folded = linked.groupBy("component").applyInPandas(fold, "o long, group long")
+    folded = (led_groups if leaders else joined_groups)(pairs)
     out = rows.select(F.col(ord_).cast("long").alias("o")).join(folded, "o", "left")
     return out.select(F.col("o").alias("ord"), F.coalesce("group", "o").alias("group"))
 
