@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .queries import documents, notices, pages, tables
+from .queries import documents, notices, pages, stories, tables
 
-_MODULES = (pages, documents, tables, notices)
+_MODULES = (pages, documents, tables, notices, stories)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
 FLAGSHIP = pages.page_selection
