@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as tx
-from ..operators import attachments, sameness
+from .. import lexicons as lx
+from ..functions import phrases
+from ..operators import attachments, portfolio, publishers, sameness
 from ..plans import report
 from .documents import _GRAMS, _SQUEEZED
 from .pages import _ARTICLES, _KEYS, _articles, _text, page_links
-from .. import lexicons as lx
 
 
 def page_attachment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,44 @@ def page_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sameness.one_of_each_event(_stories(spark, sf_dir)).select(F.col("ord").alias("page_id"), "leader", "n_rows")
 
 
-QUERIES = {f.__name__: f for f in (page_attachment_events, page_event_pairs, page_events)}
+#: Phrases that overlap, hold each other and complete each other.
+PHRASES = [("in the", "[in]"), ("the ", "[t] "), ("ing th", "[x]"), ("tion", "[n]"), ("en", ""), ("der", "[d]"), ("que", "[q]"), ("nd", "[&]"), ("[n]s", "[ns]"), ("ción", "[c]")]
+PUBLISHERS = [
+    ("example.com", "", "Com"), ("example.org", "", "Org"), ("example.net", "/en", "Net in English"), ("example.net", "/fr/", "Net in French"), ("ththan.example.net", "", "Than"), ("blog.ththan.example.net", "/en", "Than's blog"),
+    ("cheap-pills.example.com", "", "Pills"), ("ample.com", "", "none"), ("ththre.example.com", "/fr/825", "Page 825"),
+]
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+def doc_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text with a table of phrases replaced, as its digest and its length."""
+    out = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", phrases.rewrite("text", phrases.phrases(PHRASES)).alias("text"))
+    return out.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
+
+
+def page_publishers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its publisher by the longest host and path of a table; none is an empty string."""
+    table = spark.createDataFrame(PUBLISHERS, "host string, path string, name string")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return publishers.published_by(pages, table).select("page_id", F.coalesce("publisher", F.lit("")).alias("publisher"))
+
+
+def _by_value(value: str, key: str) -> Column:
+    """A number that orders rows by falling value (in cents), then by key (below 10 to the power of 10)."""
+    return F.col(key) - F.round(F.col(value) * 100).cast("long") * F.lit(10**10)
+
+
+def order_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 orders of different customers by price, five of a priority at most, low ones from 400,000 on; low ones are seeded with customers of large balance, urgent ones filled with high ones in progress."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderpriority <> '5-LOW' or o_totalprice >= 400000")
+    rows = o.select(_by_value("o_totalprice", "o_orderkey").alias("ord"), "o_orderkey", F.col("o_orderpriority").alias("module"), F.col("o_custkey").alias("key"), (F.col("o_orderstatus") == "P").alias("open"))
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_mktsegment = 'BUILDING'")
+    seeds = c.select(_by_value("c_acctbal", "c_custkey").alias("ord"), (-1 - F.col("c_custkey")).alias("o_orderkey"), F.col("c_custkey").alias("key"))
+    rules = portfolio.Rules(PRIORITIES, target=24, most=5, least=4, seeded="5-LOW", moves={"1-URGENT": ("2-HIGH", F.col("open"))})
+    return portfolio.repaired(rows, rules, seeds=seeds).select(F.col("o_orderkey").alias("order_or_customer"), "placed", "how", "turn")
+
+
+QUERIES = {f.__name__: f for f in (page_attachment_events, page_event_pairs, page_events, doc_rewritten, page_publishers, order_portfolio)}
 
 _BARE = "lower(regexp_replace(regexp_replace({0}, '^(?:附件\\s*[一二三四五六七八九十\\d]+[：:]?\\s*)', ''), '[\\s\\x{{00A0}}\\x{{3000}}\\p{{P}}\\p{{S}}]+', '', 'g'))"
 _LETTERS = "lower(regexp_replace(title, '[\\s\\x{00A0}\\x{3000}\\p{P}\\p{S}]+', '', 'g'))"
@@ -54,7 +91,21 @@ def _grams(table: str, column: str, name: str) -> str:
     return f"{name}0 AS (SELECT page_id, {plain} AS s FROM {table}), {name} AS (SELECT page_id, {_GRAMS} AS s FROM {name}0)"
 
 
+def _replaced() -> str:
+    """The phrases one after the other, whatever their case."""
+    out = "coalesce(text, '')"
+    for phrase, by in PHRASES:
+        out = f"regexp_replace({out}, '(?i){phrase.replace('[', chr(92) + '[').replace(']', chr(92) + ']')}', '{by}', 'g')"
+    return out
+
+
+_RULES = ", ".join(f"('{h}', '{p.rstrip('/')}', '{n.replace(chr(39), chr(39) * 2)}')" for h, p, n in PUBLISHERS)
 ORACLES = {
+    "doc_rewritten": f"SELECT doc_id, md5(t) AS text_md5, length(t)::BIGINT AS n_chars FROM (SELECT doc_id, {_replaced()} AS t FROM documents)",
+    "page_publishers": _KEYS
+    + f""", r AS (SELECT * FROM (VALUES {_RULES}) t(h, p, name))
+SELECT k.page_id, coalesce(arg_max(r.name, length(r.h) * 1000 + length(r.p)), '') AS publisher
+FROM keys k LEFT JOIN r ON (k.host = r.h OR ends_with(k.host, '.' || r.h)) AND (r.p = '' OR k.path = r.p OR starts_with(k.path, r.p || '/')) GROUP BY k.page_id""",
     "page_attachment_events": _ARTICLES
     + f""", e AS (SELECT page_id, {_BARE.format('title')} AS b, list_distinct(regexp_extract_all(lower(title), '[a-z0-9]{{4,}}')) AS w FROM articles),
 er AS (SELECT page_id, {_runs('b')} AS r, w FROM e),
