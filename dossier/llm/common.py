@@ -7,6 +7,7 @@ import math
 import pickle
 import uuid
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -32,13 +33,36 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Folders of open `steps`, the innermost last.
+_OPEN: list[str] = []
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder wherever it is stored."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def steps(spark: SparkSession):
+    """Steps that operators write inside are deleted at its end, for callers that have written their results by then."""
+    folder = f"{shared_folder(spark)}/steps/{uuid.uuid4().hex}"
+    _OPEN.append(folder)
+    try:
+        yield
+    finally:
+        _OPEN.remove(folder)
+        discard(spark, folder)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df as a table written below the shared folder and read again.
 
     What follows starts from files that outlive any executor, reads only the columns it needs and knows their true size.
     Unlike checkpoint() this also drops what the planner has inferred about df, which in loops grows with every turn.
+    The table stays, as its reader may come at any time; inside `steps` it goes with them.
     """
-    path = f"{shared_folder(df.sparkSession)}/steps/{uuid.uuid4().hex}"
+    path = f"{_OPEN[-1] if _OPEN else shared_folder(df.sparkSession) + '/steps'}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

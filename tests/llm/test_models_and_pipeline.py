@@ -1,3 +1,4 @@
+import pathlib
 import random
 import zlib
 
@@ -5,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from dossier.llm import langid, minhash, substring, toxicity
+from dossier.llm import common, langid, minhash, substring, toxicity
 
 from .brute import near, repeats
 
@@ -97,6 +98,7 @@ def test_toxicity_of_held_out_documents(spark):
     truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
     got = [(truth[r["doc_id"]], r["predicted"]) for r in toxicity.op2_toxicity(spark, "/root/testdata/sf0.01").where("held_out").collect() if r["doc_id"] in truth]
     assert len(got) > 50 and np.mean([a == b for a, b in got]) > 0.9
+    assert np.mean([b for a, b in got if a == 1]) >= 0.5 and np.mean([b for a, b in got if a == 0]) < 0.08  # a constant fails
     assert d.count() == toxicity.score(d, labels).count()
 
 
@@ -153,6 +155,52 @@ def test_rows_of_one_id_are_decided_by_their_own_text(spark, tmp_path):
     assert sorted((r["doc_id"], r["text"] or "") for r in got) == sorted([(3, " ".join(a)), (7, " ".join(c[:50])), (7, " ".join(b)), (8, "")])
 
 
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, new_text string, text_md5 string, row int, `a.b` int, kept string, component_id long, n_removed string"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "mine", "mine", 7, 8, "mine", 9, "mine") for i, t in rows], CLASHING).repartition(2)
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    rng = random.Random(11)
+    a, b = " ".join(words(rng, 120)), words(rng, 130)
+    rows = [(1, a), (2, a), (2, a), (3, a + " more of it"), (4, " ".join(b)), (5, " ".join(words(rng, 10) + b[20:100])), (6, ""), (7, None), (None, a), (8, "12 34 !!")]
+    spark.createDataFrame([(i, 1, int(i == 4)) for i in range(1, 9)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = clashing(spark, rows)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert {(r["new_text"], r["text_md5"], r["row"], r["a.b"], r["kept"], r["component_id"], r["n_removed"]) for r in got} == {("mine", "mine", 7, 8, "mine", 9, "mine")}, name
+        if k == 2:
+            assert sorted((r["doc_id"] or 0) for r in got) == [0, 1, 4, 5, 6, 7, 8]
+        if k == 3:
+            kept = {i: " ".join(w) for i, (_, w) in repeats({i: t for i, t in rows if i is not None}, substring.WINDOW).items()}
+            assert all((r["text"] or "") == kept[r["doc_id"]] for r in got if r["doc_id"] in (1, 2, 4, 5)) and kept[5] != rows[5][1]
+            assert all(r["n_chars"] == len(r["text"] or "") for r in got)
+    assert {r["doc_id"] for r in corpus_pipeline.best_fit(spark, docs, "").collect()} == {i for i, _ in rows}
+
+
+def test_every_stage_takes_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = clashing(spark, [(1, "a")]).limit(0)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0 and (name == "best-fit packing" or out.columns == docs.columns), name
+
+
+def test_a_run_leaves_its_result_only(spark, tmp_path):
+    spark.createDataFrame([(1, "some words in a row", "en"), (2, "some words in a row", "en")], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    folder = pathlib.Path(common.shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("*.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [(r["doc_id"], r["piece"], r["start"], r["offset"]) for r in rows] == [(1, 0, 0, 0)]
+    assert {p.parent.name for p in set(folder.rglob("*.parquet")) - before} == {"best-fit_packing"}
+
+
 def test_pipeline_is_its_stages(spark, corpus, tmp_path):
     rng, docs = random.Random(2), {i: (t, "en") for i, (t, _) in corpus.items() if i < 120}
     base = words(rng, 200)
