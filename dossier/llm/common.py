@@ -112,6 +112,20 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = STRETCH):
         yield batch.slice(a, b - a)
 
 
+def rows_where(docs: DataFrame, keep, column: str = "text") -> DataFrame:
+    """The rows of docs, all columns whatever their names, for which keep(texts) gives true; texts come about a megabyte at a time."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index(column)]
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                yield part.filter(pa.array(keep(part.column(text).to_pylist()), pa.bool_()))
+
+    plain = docs.toDF(*names)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 

@@ -172,12 +172,7 @@ def known_only(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame
     """The rows of docs, all columns, whose language isn't `und`."""
     model_ref = docs.sparkSession.sparkContext.broadcast(model or train(docs))
 
-    def keep(batches):
-        for batch in batches:
-            for part in common.slices(batch):
-                yield part.filter(pa.array([model_ref.value.predict(t)[0] != UNKNOWN for t in part.column("text").to_pylist()], pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    return common.rows_where(docs, lambda texts: [model_ref.value.predict(t)[0] != UNKNOWN for t in texts])
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -338,12 +338,7 @@ def clean_only(docs: DataFrame, labels: DataFrame | None = None, network: Networ
     """The rows of docs, all columns, that aren't predicted toxic."""
     net = docs.sparkSession.sparkContext.broadcast(network or train(docs, labels))
 
-    def keep(batches_):
-        for batch in batches_:
-            for part in common.slices(batch):
-                yield part.filter(pa.array(net.value.scores(part.column("text").to_pylist()) < 0.5, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    return common.rows_where(docs, lambda texts: net.value.scores(texts) < 0.5)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,12 +94,11 @@ def test_network_is_the_plain_recurrence():
 
 
 def test_toxicity_of_held_out_documents(spark):
-    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
-    got = [(truth[r["doc_id"]], r["predicted"]) for r in toxicity.op2_toxicity(spark, "/root/testdata/sf0.01").where("held_out").collect() if r["doc_id"] in truth]
-    assert len(got) > 50 and np.mean([a == b for a, b in got]) > 0.9
-    assert np.mean([b for a, b in got if a == 1]) >= 0.5 and np.mean([b for a, b in got if a == 0]) < 0.08  # a constant fails
-    assert d.count() == toxicity.score(d, labels).count()
+    """Recall and false alarms, so that a constant fails."""
+    folder = "/root/testdata/sf0.1"
+    truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    got = [(truth[r["doc_id"]], r["predicted"]) for r in toxicity.op2_toxicity(spark, folder).where("held_out").select("doc_id", "predicted").collect() if r["doc_id"] in truth]
+    assert len(got) > 500 and np.mean([p for y, p in got if y == 1]) > 0.8 and np.mean([p for y, p in got if y == 0]) < 0.04
 
 
 def test_windows_cover_every_word():
