@@ -59,8 +59,9 @@ def substring_matches(patterns: DataFrame, texts: DataFrame, pattern: str, text:
     """Rows of patterns with the rows of texts that hold them: every word run inside a pattern also stands in such a text.
 
     Both sides are joined on runs of `width` whole words: the pattern gives one run from its inside (its first and last
-    word can be cut), so the join is by equality; what meets is checked on the texts. Patterns of fewer than width + 2
-    words are compared with every text and have to be few.
+    word can be cut), so the join is by equality; what meets is checked on the texts. A text goes into that join as a
+    digest and comes back only where a run met. Patterns of fewer than width + 2 words are compared with every text and
+    have to be few.
     """
     words = F.split(F.trim(F.regexp_replace(blank(pattern), r"\s+", " ")), " ")
     runs = patterns.withColumn("_run", F.when(F.size(words) >= width + 2, F.array_join(F.slice(words, 2, width), " ")))
@@ -70,8 +71,10 @@ def substring_matches(patterns: DataFrame, texts: DataFrame, pattern: str, text:
         return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.concat_ws(" ", *(F.get(t, i + k) for k in range(width))))))
 
     at = let(F.split(F.regexp_replace(blank(text), r"\s+", " "), " "), windows)
-    held = texts.select("*", F.explode(at).alias("_run"))
-    long_ = held.join(runs.where("_run is not null"), "_run").drop("_run").where(F.contains(F.col(text), F.col(pattern)))
+    known = texts.withColumn("_digest", F.sha2(blank(text), 256))
+    held = known.select("_digest", F.explode(at).alias("_run")).distinct()
+    met = held.join(runs.where("_run is not null"), "_run").drop("_run")
+    long_ = known.join(met, "_digest").drop("_digest").where(F.contains(F.col(text), F.col(pattern)))
     few = F.broadcast(runs.where("_run is null and length(trim(coalesce(" + pattern + ", ''))) > 0").drop("_run"))
     short = texts.join(few, F.contains(texts[text], few[pattern]))
     return long_.unionByName(short)

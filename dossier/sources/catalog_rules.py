@@ -71,7 +71,9 @@ def place_of(host: Column, text: Column) -> Column:
 
 
 def topics_of(text: Column, module: Column, country: Column) -> Column:
-    found = [F.when(_holds(text, words), F.lit(topic)) for words, topic in TOPIC_WORDS]
+    """Topics whose words stand in a text of capitals, in the module or in the country, then the module and a known country."""
+    whole = F.concat_ws(" ", text, F.upper(module), F.upper(country))
+    found = [F.when(_holds(whole, words), F.lit(topic)) for words, topic in TOPIC_WORDS]
     return F.array_distinct(F.array_compact(F.array(*found, module, F.when(~country.isin("", NO_PLACE[1]), country))))
 
 

@@ -12,9 +12,9 @@ from dossier import lexicons as lx
 from dossier.functions import dates, urls
 from dossier.functions import facts as fx
 from dossier.functions import text as tx
-from dossier.operators import aggregates, dedupe, events, gates, joins, scoring, select, state
+from dossier.operators import aggregates, cards, dedupe, events, gates, joins, scoring, select, state
 from dossier.plans import report, weekly
-from dossier.sources import readers
+from dossier.sources import catalog_rules, readers
 from dossier.streaming import seen
 
 
@@ -351,3 +351,28 @@ def test_stream_keeps_the_first(spark, tmp_path):
     q.awaitTermination(60)
     assert sorted(r["u"] for r in spark.table("unseen_rows").collect()) == ["http://a.com/x", "http://b.com"]
     q.stop()
+
+
+def test_topics_come_from_name_address_module_and_country(spark):
+    """A row for each rule, by the word in the name, and for rules that a module or a place meets."""
+    words = [(w, topic) for ws, topic in catalog_rules.TOPIC_WORDS for w in ws]
+    named = [(i, f"x{w.lower()}x", "", "") for i, (w, _) in enumerate(words)]
+    more = [(100, "上海市场监督管理局", "http://www.a.gov.cn/x", ""), (101, "商标报", "https://t.com", ""), (102, "blog", "https://b.org", ""), (103, "blog", "https://b.org", "进出口动态"), (104, None, None, None)]
+    df = spark.createDataFrame([*named, *more], "index long, name string, url string, category string")
+    got = {r["index"]: r["topics"] for r in catalog_rules.classified(df).collect()}
+    assert all(topic in got[i] for i, (_, topic) in enumerate(words))
+    assert got[100] == ["广告合规", "行政处罚", "广告合规及处罚案例", "中国"] and got[101] == ["知识产权", "知识产权动态"]
+    assert got[102] == got[104] == ["美妆", "美妆行业动态"] and got[103] == ["进出口", "跨境电商", "进出口/跨境电商动态"]
+
+
+def test_what_may_be_selected(spark):
+    facts = "product_or_batch string, penalty_amount string"
+    cases = [
+        (("面霜", None), "标题", "hard_fact_ready", "", True), (("[]( javascript:void", None), "标题", "hard_fact_ready", "", False), (("见原文", None), "标题", "hard_fact_ready", "", False),
+        (("见原文", None), "关于发布《化妆品标签管理办法》的公告", "hard_fact_ready", "", True), ((None, "undefined"), "标题", "hard_fact_ready", "", False), ((None, None), "标题", "reject", "", False), ((None, None), "标题", "lead_only", "", False),
+        ((None, None), "标题", "", "hard_fact_list", True), ((None, None), "标题", "", "portal", False), ((None, None), "标题", "", "", True), (None, "标题", "", "", True),
+    ]
+    df = spark.createDataFrame([(i, c[0], c[1], c[2], c[3]) for i, c in enumerate(cases)], f"i int, hard_facts struct<{facts.replace(' string', ':string')}>, title string, evidence_grade string, source_scope string")
+    got = {r["i"]: r["ok"] for r in cards.cards(df).select("i", cards.may_select().alias("ok")).collect()}
+    assert got == {i: c[4] for i, c in enumerate(cases)}
+    assert [r["p"] for r in df.select(cards.policy_product("title").alias("p"), "i").orderBy("i").collect()][3] == "化妆品标签管理办法"
