@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank, let
+from ..functions.urls import record_key
 from .dedupe import ORD, first_wins, last_wins
 
 
@@ -95,3 +96,28 @@ def bijection_errors(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def subset_errors(part: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of part that aren't in whole."""
     return part.select(*keys).join(whole.select(*keys), keys, "left_anti")
+
+
+def with_corroboration(records: DataFrame, verified: DataFrame, tier: Column, url: Column | str = "url", verified_url: Column | str = "url", ord_: str = ORD) -> DataFrame:
+    """records with what their events were found to be worth: evidence_grade, verification_status, supporting_sources, agreed_anchors, event_id.
+
+    A record takes these of the verified row with its address (urls.record_key), the last one of several; empty or null ones
+    leave the record's own. A record without such a row that claims hard facts but has a secondary source (tier) is no more
+    than a lead: its grade falls and its support goes. Records without an address meet nothing. Columns that records don't
+    have are null before.
+    """
+    texts, lists = ["evidence_grade", "verification_status", "event_id"], ["supporting_sources", "agreed_anchors"]
+    kinds = {c: "string" for c in texts} | {c: "array<string>" for c in lists}
+    own = records.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in records.columns}).withColumns({"_key": record_key(url), "_tier": tier})
+    given = [(F.col(c) if c in verified.columns else F.lit(None)).cast(t).alias(f"_{c}") for c, t in kinds.items()]
+    rows = verified.select(record_key(verified_url).alias("_key"), F.col(ord_).alias("_ord"), *given).where("_key <> ''")
+    known = rows.groupBy("_key").agg(F.max_by(F.struct(*(f"_{c}" for c in kinds)), "_ord").alias("_v"))
+    both = own.join(known, "_key", "left")
+    demoted = F.col("_v").isNull() & (F.col("evidence_grade") == "hard_fact_ready") & (F.col("_tier") == "secondary")
+    fallen = {"evidence_grade": F.lit("lead_only"), "verification_status": F.lit("unverified"), "event_id": F.col("event_id")} | {c: F.array().cast("array<string>") for c in lists}
+
+    def value(c: str) -> Column:
+        new = F.nullif(F.col(f"_v._{c}"), F.lit("")) if c in texts else F.col(f"_v._{c}")
+        return F.when(F.coalesce(demoted, F.lit(False)), fallen[c]).otherwise(F.coalesce(new, F.col(c)))
+
+    return both.select(*(value(c).alias(c) if c in kinds else F.col(c) for c in own.columns if c not in ("_key", "_tier")))

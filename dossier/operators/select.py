@@ -195,3 +195,29 @@ def quota_swap(df: DataFrame, wanted: Column, quota: int, limit: int, *order: Co
     rest = df.withColumn("_must", F.lit(0))
     best = head.unionByName(rest).groupBy(*df.columns).agg(F.max("_must").alias("_must"))
     return best.orderBy(F.desc("_must"), *order).limit(limit).drop("_must")
+
+
+def widths(df: DataFrame, message: str, limit: int, sizes: tuple[str, str, str], *order: Column, base: int = 0, each: bool = True) -> DataFrame:
+    """df with `width` (full, compact, minimal), `bytes` of the whole message and `fits`: how wide each item of a message can be rendered.
+
+    sizes are columns of an item's bytes at the three widths, base what a message takes besides. Items become compact one
+    after the other in the given order, which names those first that matter least, until the message fits; with `each`
+    False all at once. If that isn't enough all become minimal, and where even that is too much, fits is false. Order ties
+    are broken by nothing: give an order without. A null size counts as 0.
+
+    No message is rendered to be measured: running sums of what compact items save tell which is the last one to shrink.
+    """
+    full, compact, minimal = (F.coalesce(F.col(c), F.lit(0)).cast("long") for c in sizes)
+    whole = Window.partitionBy(message)
+    before = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = df.withColumns({"_full": F.sum(full).over(whole) + base, "_saves": full - compact, "_least": F.sum(minimal).over(whole) + base})
+    out = out.withColumn("_saved", F.coalesce(F.sum("_saves").over(before), F.lit(0)))
+    # savings may be negative for an item, so the message fits from the first place on where it does, not from the last
+    need = F.max(F.when(F.col("_full") - F.col("_saved") <= limit, 1).otherwise(0)).over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)) == 0
+    shrunk = need if each else F.col("_full") > limit
+    out = out.withColumn("_shrunk", shrunk)
+    reached = F.col("_full") - F.sum(F.when(F.col("_shrunk"), F.col("_saves")).otherwise(0)).over(whole)
+    out = out.withColumn("_bytes", reached)
+    width = F.when(F.col("_bytes") > limit, "minimal").when(F.col("_shrunk"), "compact").otherwise("full")
+    out = out.withColumns({"width": width, "bytes": F.when(F.col("_bytes") > limit, F.col("_least")).otherwise(F.col("_bytes"))})
+    return out.withColumn("fits", F.col("bytes") <= limit).drop("_full", "_saves", "_least", "_saved", "_shrunk", "_bytes")

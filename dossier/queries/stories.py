@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicons as lx
 from ..functions import phrases
-from ..operators import attachments, portfolio, publishers, sameness
+from ..operators import attachments, portfolio, publishers, sameness, select
 from ..plans import report
 from .documents import _GRAMS, _SQUEEZED
 from .pages import _ARTICLES, _KEYS, _articles, _text, page_links
@@ -75,7 +75,17 @@ def order_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.repaired(rows, rules, seeds=seeds).select(F.col("o_orderkey").alias("order_or_customer"), "placed", "how", "turn")
 
 
-QUERIES = {f.__name__: f for f in (page_attachment_events, page_event_pairs, page_events, doc_rewritten, page_publishers, order_portfolio)}
+def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's orders as a message of 400 bytes at most: the cheapest orders are shortened first, and all of them to their number where that isn't enough."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    key = F.col("o_orderkey").cast("string")
+    full = F.concat(F.lit("Order "), key, F.lit(", status "), "o_orderstatus", F.lit(", priority "), "o_orderpriority", F.lit("; "))
+    sized = o.withColumns({"full": F.octet_length(full), "compact": F.octet_length(key) + 8, "minimal": F.octet_length(key) + 1})
+    out = select.widths(sized, "o_custkey", 400, ("full", "compact", "minimal"), F.col("o_totalprice"), F.col("o_orderkey"), base=20)
+    return out.select("o_orderkey", "o_custkey", "width", "bytes", "fits")
+
+
+QUERIES = {f.__name__: f for f in (page_attachment_events, page_event_pairs, page_events, doc_rewritten, page_publishers, order_portfolio, customer_messages)}
 
 _BARE = "lower(regexp_replace(regexp_replace({0}, '^(?:附件\\s*[一二三四五六七八九十\\d]+[：:]?\\s*)', ''), '[\\s\\x{{00A0}}\\x{{3000}}\\p{{P}}\\p{{S}}]+', '', 'g'))"
 _LETTERS = "lower(regexp_replace(title, '[\\s\\x{00A0}\\x{3000}\\p{P}\\p{S}]+', '', 'g'))"
@@ -101,6 +111,15 @@ def _replaced() -> str:
 
 _RULES = ", ".join(f"('{h}', '{p.rstrip('/')}', '{n.replace(chr(39), chr(39) * 2)}')" for h, p, n in PUBLISHERS)
 ORACLES = {
+    "customer_messages": """
+WITH s AS (SELECT o_orderkey, o_custkey, o_totalprice, length('Order ' || o_orderkey || ', status ' || o_orderstatus || ', priority ' || o_orderpriority || '; ') AS f, length(o_orderkey::VARCHAR) + 8 AS c, length(o_orderkey::VARCHAR) + 1 AS m FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS i FROM s),
+n AS (SELECT a.o_custkey, a.i AS k, 20 + sum(CASE WHEN b.i <= a.i THEN b.c ELSE b.f END) AS size FROM r a JOIN r b USING (o_custkey) GROUP BY a.o_custkey, a.i
+  UNION ALL SELECT o_custkey, 0, 20 + sum(f) FROM r GROUP BY o_custkey),
+k AS (SELECT o_custkey, min(k) FILTER (size <= 400) AS k, arg_min(size, k) FILTER (size <= 400) AS size FROM n GROUP BY o_custkey),
+l AS (SELECT o_custkey, 20 + sum(m) AS least FROM r GROUP BY o_custkey)
+SELECT o_orderkey, o_custkey, CASE WHEN k.k IS NULL THEN 'minimal' WHEN i <= k.k THEN 'compact' ELSE 'full' END AS width, coalesce(size, least)::BIGINT AS bytes, coalesce(size, least) <= 400 AS fits
+FROM r JOIN k USING (o_custkey) JOIN l USING (o_custkey)""",
     "doc_rewritten": f"SELECT doc_id, md5(t) AS text_md5, length(t)::BIGINT AS n_chars FROM (SELECT doc_id, {_replaced()} AS t FROM documents)",
     "page_publishers": _KEYS
     + f""", r AS (SELECT * FROM (VALUES {_RULES}) t(h, p, name))

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from dossier.functions import phrases
-from dossier.operators import portfolio, publishers
+from dossier.operators import joins, portfolio, publishers, select
 from dossier.queries import stories
 
 
@@ -161,3 +161,37 @@ def test_portfolio_of_orders_is_that_of_the_fold(spark):
     want = chosen(rows, seeds, stories.PRIORITIES, 24, 5, 4, "5-LOW", {"1-URGENT": "2-HIGH"})
     got = stories.order_portfolio(spark, folder).orderBy("turn").collect()
     assert [(r["order_or_customer"], r["placed"], r["how"]) for r in got] == want and len(want) > 20
+
+
+def test_widths_are_those_of_rendering_each(spark):
+    rng = random.Random(6)
+    rows = [(m, i, f := rng.randrange(30), max(0, f - rng.randrange(-2, 12)), rng.randrange(10)) for m in range(60) for i in range(rng.randrange(1, 9))] + [(99, 0, None, None, None)]
+    df = spark.createDataFrame(rows, "m int, i int, f int, c int, s int").repartition(3)
+    for each in (True, False):
+        got = {(r["m"], r["i"]): (r["width"], r["bytes"], r["fits"]) for r in select.widths(df, "m", 60, ("f", "c", "s"), F.col("i"), base=5, each=each).collect()}
+        want = {}
+        for m in {r[0] for r in rows}:
+            items = sorted(tuple(x or 0 for x in r) for r in rows if r[0] == m)
+            size = lambda k, items=items: 5 + sum(r[3] if j < k else r[2] for j, r in enumerate(items))
+            k = next((k for k in (range(len(items) + 1) if each else (0, len(items))) if size(k) <= 60), None)
+            total = 5 + sum(r[4] for r in items) if k is None else size(k)
+            for j, r in enumerate(items):
+                want[m, r[1]] = ("minimal" if k is None else "compact" if j < k else "full", total, total <= 60)
+        assert got == want and {w for w, _, _ in want.values()} == {"full", "compact", "minimal"} and any(not f for _, _, f in want.values())
+
+
+def test_corroboration_comes_back_to_records(spark):
+    kinds = "evidence_grade string, verification_status string, supporting_sources array<string>, agreed_anchors array<string>"
+    records = [
+        (1, "http://a.com/x/#top", "primary", "lead_only", "own", ["s"], ["t"]), (2, "http://a.com/y", "secondary", "hard_fact_ready", "own", ["s"], ["t"]), (3, "http://a.com/z", "primary", "hard_fact_ready", "own", ["s"], ["t"]),
+        (4, None, "secondary", "hard_fact_ready", None, None, None), (5, "http://a.com/w", "secondary", "lead_only", None, None, None), (6, "http://a.com/v", "secondary", "hard_fact_ready", "own", ["s"], ["t"]),
+    ]
+    verified = [(1, "http://a.com/x", "single", "x", ["p"], ["q"], "e0"), (2, "http://a.com/x/", "corroborated_fact_ready", "corroborated", ["a", "b"], ["n", "m"], "e1"), (3, "http://a.com/v", "", None, [], None, "e2"), (4, "", "z", "z", ["z"], ["z"], "z")]
+    df = spark.createDataFrame(records, f"ord int, url string, tier string, {kinds}")
+    v = spark.createDataFrame(verified, f"ord int, url string, {kinds}, event_id string")
+    got = {r["ord"]: tuple(r[c] for c in ("evidence_grade", "verification_status", "supporting_sources", "agreed_anchors", "event_id")) for r in joins.with_corroboration(df, v, F.col("tier")).collect()}
+    assert got[1] == ("corroborated_fact_ready", "corroborated", ["a", "b"], ["n", "m"], "e1")
+    assert got[2] == ("lead_only", "unverified", [], [], None) == got[4]
+    assert got[3] == ("hard_fact_ready", "own", ["s"], ["t"], None) and got[5] == ("lead_only", None, None, None, None)
+    assert got[6] == ("hard_fact_ready", "own", [], ["t"], "e2")
+    assert joins.with_corroboration(df, v.limit(0), F.col("tier")).where("ord = 2").first()["evidence_grade"] == "lead_only" and joins.with_corroboration(df.limit(0), v, F.col("tier")).collect() == []
