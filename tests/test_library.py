@@ -373,6 +373,6 @@ def test_what_may_be_selected(spark):
         ((None, None), "标题", "", "hard_fact_list", True), ((None, None), "标题", "", "portal", False), ((None, None), "标题", "", "", True), (None, "标题", "", "", True),
     ]
     df = spark.createDataFrame([(i, c[0], c[1], c[2], c[3]) for i, c in enumerate(cases)], f"i int, hard_facts struct<{facts.replace(' string', ':string')}>, title string, evidence_grade string, source_scope string")
-    got = {r["i"]: r["ok"] for r in cards.cards(df).select("i", cards.may_select().alias("ok")).collect()}
+    got = {r["i"]: r["ok"] for r in cards.cards(df.withColumn("url", F.lit("http://a.com/x"))).select("i", cards.may_select().alias("ok")).collect()}
     assert got == {i: c[4] for i, c in enumerate(cases)}
     assert [r["p"] for r in df.select(cards.policy_product("title").alias("p"), "i").orderBy("i").collect()][3] == "化妆品标签管理办法"
