@@ -20,6 +20,8 @@ from .greedy import led_groups
 from .skew import by_key, celled
 
 LEAST, TOUCH, LONG = 0.72, 2, 18
+#: Words of 64 bits that a set is marked in.
+MARKS = 4
 
 
 def classes(rows: DataFrame, ord_: str = "ord", identity: str = "identity", title: str = "title", facts: str = "facts") -> tuple[DataFrame, DataFrame]:
@@ -34,6 +36,26 @@ def classes(rows: DataFrame, ord_: str = "ord", identity: str = "identity", titl
     return members, kinds.select("o", "identity", bigrams("title").alias("t"), bigrams("facts").alias("f"), (F.length("facts") >= LONG).alias("long"))
 
 
+def _marks(c: str) -> Column:
+    """A set as MARKS words of 64 bits, each member a bit by its hash."""
+
+    def word(k: int) -> Column:
+        def put(acc: Column, g: Column) -> Column:
+            place = F.pmod(F.xxhash64(g), F.lit(64 * MARKS))
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+            return F.when(F.floor(place / 64) == k, acc.bitwiseOR(bit)).otherwise(acc)
+
+        return F.aggregate(c, F.lit(0).cast("long"), put)
+
+    return F.struct(*(word(k).alias(f"w{k}") for k in range(MARKS)))
+
+
+def _can_share(n: Column, own: str, other: str) -> Column:
+    """No fewer than a set of n members shares with another, by their marks: a mark that the other lacks is a member that it lacks."""
+    lacks = sum((F.bit_count(F.col(f"{own}.w{k}").bitwiseAND(F.bitwise_not(F.col(f"{other}.w{k}")))) for k in range(MARKS)), F.lit(0))
+    return n - lacks
+
+
 def _prefix(kind: str) -> Column:
     """How many of a set's rarest members have to meet the other set."""
     n = F.col("n")
@@ -44,32 +66,37 @@ def event_pairs(kinds: DataFrame) -> DataFrame:
     """(a, b, by_identity, by_title, by_facts) of classes a < b that are of one event.
 
     Keys that many classes have are dealt into cells of a grid (skew.celled), so no task gets all rows of a key. What meets
-    is verified on the sets. by_facts says whether the third rule holds, by_title the second.
+    under a bound by the sets' marks is verified on the sets. by_facts says whether the third rule holds, by_title the second.
     """
     with Steps(kinds.sparkSession) as steps:
-        sets = steps.keep(kinds)
+        sets = steps.keep(kinds.withColumns({"tm": _marks("t"), "fm": _marks("f")}))
         able = F.col("long") & (F.size("t") >= TOUCH) & (F.size("f") > 0)
         index = steps.keep(
-            sets.select("o", F.lit("i").alias("kind"), F.sha2("identity", 256).alias("g"), F.lit(1).alias("n"), F.lit(False).alias("able"), F.lit(0).alias("nf"))
-            .unionByName(sets.select("o", F.lit("t").alias("kind"), F.explode("t").alias("g"), F.size("t").alias("n"), able.alias("able"), F.size("f").alias("nf")))
-            .unionByName(sets.where(able).select("o", F.lit("f").alias("kind"), F.explode("f").alias("g"), F.size("f").alias("n"), F.lit(True).alias("able"), F.size("f").alias("nf")))
+            sets.select("o", F.lit("i").alias("kind"), F.sha2("identity", 256).alias("g"), F.lit(1).alias("n"), F.lit(False).alias("able"))
+            .unionByName(sets.select("o", F.lit("t").alias("kind"), F.explode("t").alias("g"), F.size("t").alias("n"), able.alias("able")))
+            .unionByName(sets.where(able).select("o", F.lit("f").alias("kind"), F.explode("f").alias("g"), F.size("f").alias("n"), F.lit(True).alias("able")))
         )
         counts = index.groupBy("kind", "g").agg(F.count("*").alias("df"))
         # a row's own set has at most as many members as there are bigrams
-        ranked = by_key(index.where("kind <> 'i'"), counts, ["kind", "g"]).groupBy("o", "kind", "n", "able", "nf").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("gs"))
+        ranked = by_key(index.where("kind <> 'i'"), counts, ["kind", "g"]).groupBy("o", "kind", "n", "able").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("gs"))
 
         def asked(kind: str, prefix: str, arm: str) -> DataFrame:
             cut = F.slice("gs", F.lit(1), F.greatest(_prefix(prefix), F.lit(0)))
-            out = ranked.where(F.col("kind") == kind).select("o", "kind", "n", "able", "nf", cut.alias("gs"), F.lit(arm).alias("arm"))
+            out = ranked.where(F.col("kind") == kind).select("o", "kind", "able", cut.alias("gs"), F.lit(arm).alias("arm"))
             return out.withColumn("cost", F.aggregate("gs", F.lit(0).cast("long"), lambda a, x: a + x["df"]))
 
         alike = asked("t", "enough", "t")
         either = asked("f", "enough", "f").unionByName(asked("t", "touch", "f").where("able"))
-        cheaper = either.groupBy("o").agg(F.min_by(F.struct("kind", "n", "able", "nf", "gs", "arm"), F.struct("cost", "kind")).alias("x")).select("o", "x.*")
-        probes = alike.drop("cost").unionByName(cheaper).select("o", "kind", "n", "nf", "arm", F.explode("gs").alias("x")).select("o", "kind", "n", "nf", "arm", F.col("x.g").alias("g"))
-        probes = steps.keep(probes.unionByName(index.where("kind = 'i'").select("o", "kind", "n", "nf", F.lit("i").alias("arm"), "g")))
-        left, right = celled(probes, index.select(F.col("o").alias("q"), "kind", "g", F.col("n").alias("q_n"), F.col("able").alias("q_able"), F.col("nf").alias("q_nf")), ["kind", "g"], "o", "q")
-        fits = F.when(F.col("arm") == "f", F.col("q_able") & (F.col("q_nf") >= F.col("nf"))).otherwise(F.col("q_n") >= F.col("n"))
+        cheaper = either.groupBy("o").agg(F.min_by(F.struct("kind", "able", "gs", "arm"), F.struct("cost", "kind")).alias("x")).select("o", "x.*")
+        probes = alike.drop("cost").unionByName(cheaper).select("o", "kind", "arm", F.explode("gs").alias("x")).select("o", "kind", "arm", F.col("x.g").alias("g"))
+        probes = probes.unionByName(index.where("kind = 'i'").select("o", "kind", F.lit("i").alias("arm"), "g"))
+        marked = sets.select("o", F.size("t").alias("nt"), F.size("f").alias("nf"), "tm", "fm")
+        probes = steps.keep(probes.join(marked, "o"))
+        entries = steps.keep(index.join(marked, "o").select(F.col("o").alias("q"), "kind", "g", F.col("able").alias("q_able"), *(F.col(c).alias(f"q_{c}") for c in ("nt", "nf", "tm", "fm"))))
+        left, right = celled(probes, entries, ["kind", "g"], "o", "q")
+        titles, facts = _can_share(F.col("nt"), "tm", "q_tm"), _can_share(F.col("nf"), "fm", "q_fm")
+        alike_facts = F.col("q_able") & (F.col("q_nf") >= F.col("nf")) & (facts >= F.col("nf") * LEAST - 1e-9) & (titles >= TOUCH)
+        fits = F.when(F.col("arm") == "f", alike_facts).when(F.col("arm") == "t", (F.col("q_nt") >= F.col("nt")) & (titles >= F.col("nt") * LEAST - 1e-9)).otherwise(True)
         met = left.join(right, ["kind", "g", "cell"]).where((F.col("o") != F.col("q")) & fits).select(F.least("o", "q").alias("a"), F.greatest("o", "q").alias("b")).distinct()
         one = lambda k: sets.select(F.col("o").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("identity", "t", "f", "long")))
         both = by_key(by_key(steps.keep(met), one("a"), ["a"]), one("b"), ["b"])
