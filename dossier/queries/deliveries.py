@@ -12,11 +12,11 @@ TERMS = delivery.Terms(PRIORITIES, target=11, fewest=4, most=12, floor=2, cap=3,
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as rows of their customer's portfolio: of each quarter one counts; dear ones are strict, late ones graded, open ones home, early ones may stand in."""
+    """Orders as rows of their customer's portfolio: of each quarter one counts; dear ones are strict, two of three graded, open ones home, early ones may stand in."""
     price, day, dear = F.col("o_totalprice"), F.col("o_orderdate"), F.col("o_custkey") % 4 * 90000
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("ord"), F.col("o_custkey").alias("portfolio"), F.col("o_orderpriority").alias("module"), (F.year(day) * 4 + F.quarter(day)).alias("key"), price.alias("score"),
-        (price >= 150000 + dear).alias("strict"), ((price >= 100000 + dear) & (F.year(day) < 1999)).alias("fallback"), (F.col("o_orderstatus") == "O").alias("home"), (F.year(day) >= 1997).alias("graded"),
+        (price >= 150000 + dear).alias("strict"), ((price >= 100000 + dear) & (F.year(day) < 1999)).alias("fallback"), (F.col("o_orderstatus") == "O").alias("home"), (F.col("o_orderkey") % 3 != 0).alias("graded"),
     )
 
 
@@ -74,7 +74,7 @@ _IN = "(" + ", ".join(f"'{p}'" for p in PRIORITIES) + ")"
 _LIST = "[" + ", ".join(f"'{p}'" for p in PRIORITIES) + "]"
 _ROWS = """
 WITH o AS (SELECT o_orderkey AS ord, o_custkey AS p, o_orderpriority AS m, year(o_orderdate) * 4 + quarter(o_orderdate) AS k, o_totalprice AS s,
-  o_totalprice >= 150000 + o_custkey % 4 * 90000 AS strict, o_totalprice >= 100000 + o_custkey % 4 * 90000 AND year(o_orderdate) < 1999 AS fallback, o_orderstatus = 'O' AS home, year(o_orderdate) >= 1997 AS graded FROM orders),
+  o_totalprice >= 150000 + o_custkey % 4 * 90000 AS strict, o_totalprice >= 100000 + o_custkey % 4 * 90000 AND year(o_orderdate) < 1999 AS fallback, o_orderstatus = 'O' AS home, o_orderkey % 3 <> 0 AS graded FROM orders),
 pool AS (SELECT * FROM o WHERE strict AND graded QUALIFY row_number() OVER (PARTITION BY p, k ORDER BY ord) = 1)"""
 _DELIVERED = (
     _ROWS
