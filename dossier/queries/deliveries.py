@@ -1,11 +1,11 @@
-"""Queries over deliveries: each customer's orders as a portfolio; pages fetched again by a ladder of attempts."""
+"""Queries over deliveries: each customer's orders as a portfolio; pages fetched again by a ladder of attempts, and official pages behind them by hops."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import delivery, ladder
+from ..operators import authority, delivery, ladder
 from .stories import PRIORITIES
 
 TERMS = delivery.Terms(PRIORITIES, target=11, fewest=4, most=12, floor=2, cap=3, home=2, graded=3)
@@ -68,7 +68,28 @@ def page_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "recovery_status", "recovery_method", "final_error", "final_url", F.col("waited_ms").cast("long").alias("waited_ms"), F.length("html").cast("long").alias("n_html"), tried.alias("tried"))
 
 
-QUERIES = {f.__name__: f for f in (customer_portfolios, customer_deliveries, customer_delivery_audit, page_recovery)}
+def _found_pages(pages: DataFrame, n: int):
+    """A search over pages: the digest of a query draws five of n page numbers; every third page is a publisher's, every fifth an official one."""
+
+    def search(asked: DataFrame) -> DataFrame:
+        drawn = asked.select("query", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.conv(F.substring(F.md5(F.col("query").cast("binary")), 1 + i * 6, 6), 16, 10).cast("long") % max(1, n))).alias("position", "page_id"))
+        kind = F.when(F.col("page_id") % 5 == 0, "official_site").when(F.col("page_id") % 3 == 0, "media").otherwise("")
+        return drawn.join(pages, "page_id").select("query", "position", F.col("page_id").cast("string").alias("title"), "url", kind.alias("source_type"))
+
+    return search
+
+
+def page_authority_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a lead: the official pages that three hops of searches find behind it, six searches a page and 40 a host at most."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    modules = F.element_at(F.array(*(F.lit(m) for m in authority.ANCHORS), F.lit("")), (F.col("page_id") % 7 + 1).cast("int"))
+    title = F.concat(F.lit("NO-"), F.col("page_id").cast("string"), F.element_at(F.array(F.lit(" 公告"), F.lit(" 海关处罚"), F.lit("")), (F.col("page_id") % 3 + 1).cast("int")))
+    leads = pages.select(F.col("page_id").alias("ord"), "url", title.alias("title"), modules.alias("module"), F.lit("media").alias("source_type"))
+    found, _ = authority.hops(leads, _found_pages(pages, pages.count()), per_host=40)
+    return found.select("seed", "hop", F.md5(F.col("query").cast("binary")).alias("query_md5"), F.col("title").cast("long").alias("page_id"), "trust_level", "module", "lead_url", "lead_title")
+
+
+QUERIES = {f.__name__: f for f in (customer_portfolios, customer_deliveries, customer_delivery_audit, page_recovery, page_authority_hops)}
 
 _IN = "(" + ", ".join(f"'{p}'" for p in PRIORITIES) + ")"
 _LIST = "[" + ", ".join(f"'{p}'" for p in PRIORITIES) + "]"
