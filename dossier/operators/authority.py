@@ -46,6 +46,9 @@ HOME_REGION, HOME = "亚洲", "中国"
 #: What a lead or a result has; columns that a frame doesn't have count as empty.
 LEAD = ("title", "url", "source_name", "source_type", "authority_type", "source_scope", "module", "country", "region", "snippet", "article_text")
 
+#: A host's queries are first cut in so many shares.
+SHARES = 32
+
 
 def known_place(c: Column | str) -> Column:
     """The place, or an empty string where it isn't known."""
@@ -144,7 +147,9 @@ def hops(leads: DataFrame, search: Callable[[DataFrame], DataFrame], most: int =
             if asked:
                 one = one.join(reduce(DataFrame.union, [a.select("query") for a in asked]), "query", "left_anti")
             for by, budget in (("seed", per_seed), ("host", per_host)):
-                one = one.withColumn("_rank", F.row_number().over(Window.partitionBy(by).orderBy("seed", "_key", "_n"))).where(F.col("_rank") <= budget)
+                # a host may have a third of all leads: its shares are cut first, so that what meets in one task is their budgets
+                for keys in ((by, F.pmod(F.xxhash64("_key"), F.lit(SHARES))), (by,)) if by == "host" else ((by,),):
+                    one = one.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("seed", "_key", "_n"))).where(F.col("_rank") <= budget)
                 if asked:
                     used = reduce(DataFrame.union, [a.select(by) for a in asked]).groupBy(by).agg(F.count("*").alias("_used"))
                     one = one.join(used, by, "left").where(F.col("_rank") + F.coalesce("_used", F.lit(0)) <= budget).drop("_used")
