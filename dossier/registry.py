@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .queries import deliveries, documents, notices, pages, stories, tables
+from .queries import deliveries, documents, notices, pages, runs, stories, tables
 
-_MODULES = (pages, documents, tables, notices, stories, deliveries)
+_MODULES = (pages, documents, tables, notices, stories, deliveries, runs)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
 FLAGSHIP = pages.page_selection
