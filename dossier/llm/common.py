@@ -55,15 +55,16 @@ def steps(spark: SparkSession):
         discard(spark, folder)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, file_rows: int = 0) -> DataFrame:
     """df as a table written below the shared folder and read again.
 
     What follows starts from files that outlive any executor, reads only the columns it needs and knows their true size.
     Unlike checkpoint() this also drops what the planner has inferred about df, which in loops grows with every turn.
-    The table stays, as its reader may come at any time; inside `steps` it goes with them.
+    The table stays, as its reader may come at any time; inside `steps` it goes with them. file_rows is the most that a
+    file holds, for rows so large that a few of them fill one; 0 is as Spark does.
     """
     path = f"{_OPEN[-1] if _OPEN else shared_folder(df.sparkSession) + '/steps'}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

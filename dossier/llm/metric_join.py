@@ -1,22 +1,28 @@
 """Embedding near-dedup: an exact range join by angle, with pivots.
 
 Unit vectors are compared by the angle between them, which is a metric. Pivots come from a bounded sample: centres of its
-densest neighbourhoods, at least the join's radius apart. Each vector is at home in the cell of its nearest pivot. The
-triangle inequality decides what else is needed: a vector can link with one at home in another cell only if it is no
-farther than the radius from the boundary between both pivots, so it visits just those cells; it can link with a vector
-in the core of a cell (within half the radius of the pivot) only within one and a half radii of that pivot; and vectors
-of one core all link, so these pairs are counted and not compared. A hot group of copies is mostly such a core.
-
-Cells are joined independently, in tiles of at most about TILE residents and TILE visitors, each pair in one tile. A tile
-keeps counts of links and a spanning forest of them, never the pairs. In data without any low-dimensional structure the
-triangle inequality excludes little, and the tiles then make up the whole comparison in blocks.
+densest neighbourhoods, at least the join's radius apart. Each vector is at home in the cell of its nearest pivot. Vectors
+in the core of a cell (within half the radius of the pivot) all link, so these pairs are counted and not compared. A hot
+group of copies is mostly such a core.
+
+Cells are cut into packs, a row of bytes for some thousand vectors, which are written once and then met pack by pack in a
+Cartesian product, so a vector is never copied for each pack that it meets: a task holds two packs, whatever the table's
+size. A pack is a ball: by the triangle inequality two packs are left out if their balls are farther apart than the
+radius, and of the others only the vectors within the radius of the other ball are compared. Of a pair the leading
+coordinates and the lengths of what remains are multiplied first: by Cauchy and Schwarz that product is at least the
+cosine. A pair of packs keeps counts of links and a spanning forest of them, never the pairs. In data without any
+low-dimensional structure the triangle inequality excludes little, and the packs then make up the whole comparison in
+blocks, whose time grows with the square of the rows.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -25,23 +31,35 @@ from .components import components
 COSINE = 0.9
 #: Bounds of the sample that pivots come from, and of the pivots.
 SAMPLE, PIVOTS = 2048, 512
-TILE = 8192
+#: Vectors in a pack: a table has about PACKS packs, of TILE vectors at least; more only once a pack has PACK_BYTES.
+TILE, PACKS, PACK_BYTES = 4096, 32, 16 << 20
+#: Pack files at most, when there are more packs a file has several.
+FILES = 512
+#: A core of less than a pack over CORE is compared like the rest of its cell.
+CORE = 8
+#: Rows and columns that are multiplied at once, and links that are held before they are merged.
+ROWS, COLUMNS, HELD = 256, 512, 1 << 18
 _SLACK = 1e-6
 
 
-def unit(rows: list) -> np.ndarray:
+def unit(rows: list | np.ndarray) -> np.ndarray:
     x = np.array(rows, np.float64)
-    scale = np.abs(x).max(axis=1, keepdims=True)
-    x = x / scale
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    x /= np.maximum(x.max(axis=1, keepdims=True), -x.min(axis=1, keepdims=True))
+    x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return x
 
 
 def usable(vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
-    """(vec_id, v): vectors that can be compared. Of rows with the same id the least vector stands for all."""
-    v = F.transform(embedding, lambda x: x.cast("double"))
+    """(vec_id, v): the rows with vectors that can be compared. v is of floats if the table's are, otherwise of doubles."""
+    floats = vectors.schema[embedding].dataType.simpleString() == "array<float>"
+    v = F.col(embedding) if floats else F.transform(embedding, lambda x: x.cast("double"))
     fine = vectors.where(F.col("vec_id").isNotNull() & F.col(embedding).isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    fine = fine.where(~F.coalesce(bad, F.lit(False)) & F.exists("v", lambda x: x != 0))
+    return fine.where(~F.coalesce(bad, F.lit(False)) & F.exists("v", lambda x: x != 0))
+
+
+def one_each(fine: DataFrame) -> DataFrame:
+    """Of rows with the same id the least vector stands for all."""
     return fine.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
@@ -71,135 +89,242 @@ def merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return label
 
 
-def tile_links(res: np.ndarray, vis: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Number of links and component label of each row of res (then vis); without vis the pairs inside res."""
+def leading(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Coordinates along the axes and the length of what remains: the product of two such rows is at least that of the vectors."""
+    y = x @ axes
+    return np.concatenate([y, np.sqrt(np.maximum(0, 1 - (y * y).sum(1)))[:, None]], 1)
+
+
+def tile_links(res: np.ndarray, vis: np.ndarray | None, threshold: float, axes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Number of links and component label of each row of res (then vis); without vis the pairs inside res.
+
+    Products in single precision only choose; what is within their error of the threshold is computed in double.
+    """
     other = res if vis is None else vis
     shift = 0 if vis is None else len(res)
     n = np.zeros(len(res) + (0 if vis is None else len(vis)), np.int64)
     label = np.arange(len(n))
-    quick, quick_other = res.astype(np.float32), other.astype(np.float32).T.copy()
-    for i in range(0, len(res), 256):
-        near = quick[i : i + 256] @ quick_other >= np.float32(threshold - 1e-4)
-        a, b = np.nonzero(near)
-        a += i
-        if vis is None:
-            a, b = a[a < b], b[a < b]
-        for k in range(0, len(a), 1 << 18):
-            p, q = a[k : k + (1 << 18)], b[k : k + (1 << 18)]
-            yes = np.einsum("ij,ij->i", res[p], other[q]) >= threshold
-            p, q = p[yes], q[yes] + shift
-            n += np.bincount(p, minlength=len(n)) + np.bincount(q, minlength=len(n))
+    error = 1e-5 + 2e-7 * res.shape[1]
+    low, high = np.float32(threshold - error), np.float32(threshold + error)
+    quick, quick_other = res.astype(np.float32), other.astype(np.float32)
+    if axes is not None:
+        lead = leading(res, axes).astype(np.float32)
+        lead_other = lead if vis is None else leading(other, axes).astype(np.float32)
+    product, near = np.empty(ROWS * COLUMNS, np.float32), np.zeros(ROWS * COLUMNS, bool)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def settle() -> None:
+        nonlocal label
+        if held:
+            p, q = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]) + shift
+            held.clear()
+            n[:] += np.bincount(p, minlength=len(n)) + np.bincount(q, minlength=len(n))
             label = merge(label, p, q)
+
+    def likely(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the block of x by y whose product isn't too low, and the products; eight places are looked at at once, as few are near."""
+        size = len(x) * len(y)
+        block = product[:size]
+        np.matmul(x, y.T, out=block.reshape(len(x), len(y)))
+        np.greater_equal(block, low, out=near[:size])
+        near[size : size + 8] = False
+        some = np.flatnonzero(near[: common.ceil_div(size, 8) * 8].view(np.uint64))
+        k, place = np.nonzero(near.reshape(-1, 8)[some])
+        at = some[k] * 8 + place
+        return at, block[at]
+
+    def links(i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        to_i, to_j = min(i + ROWS, len(res)), min(j + COLUMNS, len(other))
+        width = to_j - j
+        sure = None
+        if axes is not None:
+            at, _ = likely(lead[i:to_i], lead_other[j:to_j])
+        if axes is None or len(at) * 64 > (to_i - i) * width:  # many are near, so whole products cost less than pairs one by one
+            at, cosine = likely(quick[i:to_i], quick_other[j:to_j])
+            sure = cosine >= high
+        p, q = at // width + i, at % width + j
+        keep = np.zeros(len(at), bool) if sure is None else sure
+        close = np.flatnonzero(~keep)
+        for k in range(0, len(close), 1 << 14):
+            c = close[k : k + (1 << 14)]
+            keep[c] = np.einsum("ij,ij->i", res[p[c]], other[q[c]]) >= threshold
+        return p[keep], q[keep]
+
+    for i in range(0, len(res), ROWS):
+        for j in range(0 if vis is not None else i // COLUMNS * COLUMNS, len(other), COLUMNS):
+            p, q = links(i, j)
+            if vis is None:
+                p, q = p[p < q], q[p < q]
+            if len(p):
+                held.append((p, q))
+                if sum(len(h[0]) for h in held) > HELD:
+                    settle()
+    settle()
     return n, label
 
 
-def _found(fine: DataFrame, total: int, threshold: float, tile: int) -> DataFrame:
-    """(vec_id, n, to): numbers of links and spanning forests, tile by tile, of `total` vectors of one length."""
-    radius = float(np.arccos(threshold))
-    picked = sorted(fine.where(common.sample_share(F.lit(min(1.0, SAMPLE / max(1, total))), "vec_id")).collect())[: 2 * SAMPLE]
-    sample = unit([r["v"] for r in picked]) if picked else np.zeros((0, 1))
-    want = max(1, min(PIVOTS, total // tile))
-    pivots = choose_pivots(sample, want, radius) if len(sample) else sample
-    if len(picked) == 0:  # a few rows, none of them in the sample
-        pivots = unit([fine.orderBy("vec_id").first()["v"]])
-    gap = np.linalg.norm(pivots[:, None] - pivots[None], axis=2) * np.sin(radius) + _SLACK if len(pivots) else np.zeros((0, 0))
-
-    def place(x: np.ndarray):
-        """Home cell, whether in its core, and by cell whether the vector may link with core and other vectors at home there."""
-        c = x @ pivots.T
-        home = c.argmax(1)
-        mine = c[np.arange(len(x)), home]
-        core = mine >= np.cos(radius / 2 - _SLACK)
-        crosses = mine[:, None] - c <= gap[home]
-        meets_core = c >= np.cos(min(np.pi, 1.5 * radius + _SLACK)) if 1.5 * radius + _SLACK < np.pi else np.ones_like(crosses)
-        later = home[:, None] > np.arange(len(pivots))  # of two cells the one with the lower number handles the pair
-        own = home[:, None] == np.arange(len(pivots))
-        visits_core = (later & crosses & meets_core) | (own & meets_core & ~core[:, None])
-        visits_rest = (later & crosses) | (own & False)
-        return home, core, visits_core, visits_rest
-
-    def assign(batches):
-        for pdf in batches:
-            if len(pdf):
-                home, core, to_core, to_rest = place(unit(pdf["v"].tolist()))
-                n = np.stack([np.bincount(home[core], minlength=len(pivots)), np.bincount(home[~core], minlength=len(pivots)), to_core.sum(0), to_rest.sum(0)], 1)
-                least = np.full(len(pivots), np.iinfo(np.int64).max)
-                np.minimum.at(least, home[core], pdf["vec_id"].to_numpy()[core])
-                yield pd.DataFrame({"cell": np.arange(len(pivots), dtype=np.int32), "core": n[:, 0], "rest": n[:, 1], "to_core": n[:, 2], "to_rest": n[:, 3], "least": least})
-
-    sums = fine.mapInPandas(assign, "cell int, core long, rest long, to_core long, to_rest long, least long")
-    stats = {r["cell"]: r for r in sums.groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("core", "rest", "to_core", "to_rest")), F.min("least").alias("least")).collect()}  # a row for each pivot
-    parts = {(c, k): max(1, common.ceil_div(s[k], tile)) for c, s in stats.items() for k in ("core", "rest", "to_core", "to_rest")}
-    first_core = {c: (s["core"], s["least"]) for c, s in stats.items()}
+def by_length(batch: pa.RecordBatch):
+    """(d, places, vectors) for each length of the vectors in column v."""
+    column = batch.column(batch.schema.get_field_index("v"))
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    for d in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == d)
+        yield d, at, column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+
+
+def _cells(fine: DataFrame, radius: float, tile: int | None) -> tuple[dict, dict, dict]:
+    """By vector length: pivots, leading axes (only where there is more than one pack) and how many vectors a pack has."""
+    totals = {r["d"]: r["n"] for r in fine.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}  # a row for each length
+    width = 4 if fine.schema["v"].dataType.simpleString() == "array<float>" else 8
+    full = {d: max(1, min(tile or max(TILE, n // PACKS), PACK_BYTES // (width * d))) for d, n in totals.items()}
+    share = SAMPLE / max(1, sum(totals.values()))
+    picked: dict[int, list] = {}
+    for r in sorted(one_each(fine.where(common.sample_share(F.lit(min(1.0, share)), "vec_id"))).collect())[: 2 * SAMPLE]:
+        picked.setdefault(len(r["v"]), []).append(r["v"])
+    pivots, axes = {}, {}
+    for d, rows in picked.items():
+        if totals[d] > full[d]:
+            sample = unit(rows)
+            pivots[d] = choose_pivots(sample, min(PIVOTS, max(1, totals[d] // full[d])), radius)
+            if d >= 32:
+                axes[d] = np.linalg.eigh(sample.T @ sample)[1][:, 1 - d // 2 :]
+    return pivots, axes, full
+
+
+def _packed(fine: DataFrame, radius: float, tile: int | None) -> tuple[DataFrame, dict]:
+    """Packs (pack, d, cell, core, n, least, centre, spread, ids, vectors), written, and the leading axes by length."""
+    pivots, axes, full = _cells(fine, radius, tile)
+
+    def place(d: int, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Home cell and whether in its core."""
+        if d not in pivots:
+            return np.zeros(len(v), np.int64), np.zeros(len(v), bool)
+        c = unit(v) @ pivots[d].T
+        return c.argmax(1), c.max(1) >= np.cos(radius / 2 - _SLACK)
+
+    def count(batches):
+        for batch in batches:
+            for d, _, v in by_length(batch):
+                home, core = place(d, v)
+                key, n = np.unique(home * 2 + core, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"d": pa.array([d] * len(key), pa.int32()), "kind": pa.array(key, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    rows = fine.select("v").mapInArrow(count, "d int, kind long, n long").groupBy("d", "kind").agg(F.sum("n").alias("n")).collect()  # a row for each pivot, or length
+    met = {(r["d"], r["kind"]): r["n"] for r in rows}
+    sizes, goes = {}, {}
+    for d in sorted(full):
+        for kind in range(0, 2 * len(pivots.get(d, [0])), 2):
+            rest, core = met.get((d, kind), 0), met.get((d, kind + 1), 0)
+            goes[d, kind], goes[d, kind + 1] = kind, kind + (core * CORE >= full[d])
+            for k in {goes[d, kind], goes[d, kind + 1]}:
+                sizes[d, k] = max(1, round((core if k > kind else rest if goes[d, kind + 1] > kind else rest + core) / full[d]))
+    first = dict(zip(sizes, accumulate(sizes.values(), initial=0), strict=False))
+    names = {k: (d, kind // 2, kind % 2 == 1) for (d, kind), n in sizes.items() for k in range(first[d, kind], first[d, kind] + n)}
 
     def deal(batches):
-        """Rows of the tiles (cell, kind, a, b): kind 0 core against visitors, 1 the rest against visitors, 2 the rest against itself."""
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            home, core, to_core, to_rest = place(unit(pdf["v"].tolist()))
-            salt = pd.util.hash_array(pdf["vec_id"].to_numpy())
-            out: list[tuple] = []
-            for i, (h, is_core, z) in enumerate(zip(home.tolist(), core.tolist(), salt.tolist(), strict=True)):
-                kind, mine, theirs = (0, "core", "to_core") if is_core else (1, "rest", "to_rest")
-                if stats[h][theirs]:
-                    out += [(i, h, kind, z % parts[h, mine], b, 0) for b in range(parts[h, theirs])]
-                if not is_core:
-                    n, a = parts[h, "rest"], z % parts[h, "rest"]
-                    out += [(i, h, 2, min(a, b), max(a, b), int(b < a)) for b in range(n)]
-                for j in np.flatnonzero(to_core[i]).tolist():
-                    if stats[j]["core"]:
-                        out += [(i, j, 0, a, z % parts[j, "to_core"], 1) for a in range(parts[j, "core"])]
-                for j in np.flatnonzero(to_rest[i]).tolist():
-                    if stats[j]["rest"]:
-                        out += [(i, j, 1, a, z % parts[j, "to_rest"], 1) for a in range(parts[j, "rest"])]
-            if out:
-                o = np.array(out)
-                yield pd.DataFrame({"cell": o[:, 1], "kind": o[:, 2], "a": o[:, 3], "b": o[:, 4], "visits": o[:, 5], "vec_id": pdf["vec_id"].to_numpy()[o[:, 0]], "v": pdf["v"].iloc[o[:, 0]].tolist()})
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        visits = pdf["visits"].to_numpy() == 1
-        inside = int(pdf["kind"].iloc[0]) == 2 and int(pdf["a"].iloc[0]) == int(pdf["b"].iloc[0])
-        if not inside and (visits.all() or not visits.any()):
-            return pd.DataFrame({"vec_id": [], "n": [], "to": []}).astype("int64")
-        x = unit(pdf["v"].tolist())
-        ids = pdf["vec_id"].to_numpy()
-        if inside:
-            n, label = tile_links(x, None, threshold)
-        else:
-            n, label = tile_links(x[~visits], x[visits], threshold)
-            ids = np.concatenate([ids[~visits], ids[visits]])
-        linked = n > 0
-        return pd.DataFrame({"vec_id": ids[linked], "n": n[linked], "to": ids[label[linked]]})
+        for batch in batches:
+            salt = pd.util.hash_array(batch.column(0).to_numpy(zero_copy_only=False))
+            pack = np.zeros(batch.num_rows, np.int64)
+            for d, at, v in by_length(batch):
+                home, core = place(d, v)
+                kind = [(d, goes[d, k]) for k in (home * 2 + core).tolist()]
+                pack[at] = np.array([first[k] for k in kind]) + (salt[at] % np.array([sizes[k] for k in kind], np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pack), *batch.columns], ["pack", "vec_id", "v"])
 
-    def inside_core(batches):
-        for pdf in batches:
-            if len(pdf):
-                home, core, _, _ = place(unit(pdf["v"].tolist()))
-                ids, home = pdf["vec_id"].to_numpy()[core], home[core]
-                n = np.array([first_core[h][0] - 1 for h in home.tolist()], np.int64)
-                to = np.array([first_core[h][1] for h in home.tolist()], np.int64)
-                yield pd.DataFrame({"vec_id": ids[n > 0], "n": n[n > 0], "to": to[n > 0]})
+    def pack(key, group):
+        d, cell, core = names[key[0].as_py()]
+        ids = group.column("vec_id").to_numpy()
+        v = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in group.column("v").chunks]).reshape(-1, d)
+        x = unit(v)
+        centre = x.sum(0)
+        length = np.linalg.norm(centre)
+        centre = centre / length if length > _SLACK else x[0]
+        spread = float(np.arccos(np.clip((x @ centre).min(), -1, 1)))
+        row = {"pack": key[0].as_py(), "d": d, "cell": cell, "core": core, "n": len(ids), "least": int(ids.min()), "centre": centre.tolist(), "spread": spread, "ids": ids.tobytes(), "vectors": v.tobytes()}
+        return pa.Table.from_pylist([row], schema=_PACK_ARROW)
 
-    dealt = fine.mapInPandas(deal, "cell int, kind int, a int, b int, visits int, vec_id long, v array<double>")
-    found = dealt.groupBy("cell", "kind", "a", "b").applyInPandas(compare, "vec_id long, n long, to long")
-    return common.checkpointed(found.unionByName(fine.mapInPandas(inside_core, "vec_id long, n long, to long")))
+    dealt = one_each(fine).mapInArrow(deal, fine.schema.simpleString().replace("struct<", "struct<pack:bigint,"))
+    packs = dealt.groupBy("pack").applyInArrow(pack, _PACK)
+    return common.checkpointed(packs, max(1, len(names) // FILES)), axes
 
 
-def near_vectors(vectors: DataFrame, threshold: float = COSINE, tile: int = TILE, embedding: str = "embedding") -> DataFrame:
+_PACK = "pack long, d int, cell int, core boolean, n long, least long, centre array<double>, spread double, ids binary, vectors binary"
+_PACK_ARROW = pa.schema([("pack", pa.int64()), ("d", pa.int32()), ("cell", pa.int32()), ("core", pa.bool_()), ("n", pa.int64()), ("least", pa.int64()), ("centre", pa.list_(pa.float64())), ("spread", pa.float64()), ("ids", pa.binary()), ("vectors", pa.binary())])
+_FOUND = "vec_id long, n long, to long"
+
+
+def _links_of(ids: np.ndarray, n: np.ndarray, to: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(to, pa.int64())], ["vec_id", "n", "to"])
+
+
+def _between(a: Column, b: Column) -> Column:
+    """Angle between two centres."""
+    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return F.acos(F.greatest(F.least(dot, F.lit(1.0)), F.lit(-1.0)))
+
+
+def _found(fine: DataFrame, threshold: float, tile: int | None) -> DataFrame:
+    """(vec_id, n, to): numbers of links and spanning forests, by pairs of packs."""
+    radius = float(np.arccos(threshold))
+    packs, axes = _packed(fine, radius, tile)
+    double = fine.schema["v"].dataType.simpleString() != "array<float>"
+
+    def compare(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = {name: column[k] for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+                d, ids, x = r["d"].as_py(), [], []
+                for side, of in ("ab", "ba"):
+                    v = np.frombuffer(r[f"{side}_vectors"].as_buffer(), np.float64 if double else np.float32).reshape(-1, d)
+                    u = unit(v)
+                    near = u @ r[f"{of}_centre"].values.to_numpy() >= np.cos(min(np.pi, r[f"{of}_spread"].as_py() + radius + _SLACK)) - _SLACK
+                    ids.append(np.frombuffer(r[f"{side}_ids"].as_buffer(), np.int64)[near])
+                    x.append(u[near])
+                    if r["inside"].as_py():
+                        break
+                if r["inside"].as_py():
+                    n, label = tile_links(x[0], None, threshold, axes.get(d))
+                elif not (len(x[0]) and len(x[1])):
+                    continue
+                else:
+                    n, label = tile_links(x[0], x[1], threshold, axes.get(d))
+                at = np.concatenate(ids)
+                linked = n > 0
+                yield _links_of(at[linked], n[linked], at[label[linked]])
+
+    cores = {(r["d"], r["cell"]): (r["n"], r["least"]) for r in packs.where("core").groupBy("d", "cell").agg(F.sum("n").alias("n"), F.min("least").alias("least")).collect()}  # a row for each pivot at most
+
+    def inside_core(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                n, least = cores[r["d"], r["cell"]]
+                if n > 1:
+                    ids = np.frombuffer(r["ids"], np.int64)
+                    yield _links_of(ids, np.full(len(ids), n - 1), np.full(len(ids), least))
+
+    columns = ("pack", "d", "cell", "core", "centre", "spread", "ids", "vectors")
+    a, b = (packs.select(*(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in "ab")
+    one_core = F.col("a_core") & F.col("b_core") & (F.col("a_cell") == F.col("b_cell"))
+    reach = _between(F.col("a_centre"), F.col("b_centre")) <= F.col("a_spread") + F.col("b_spread") + F.lit(radius + 4 * _SLACK)
+    # each pair of packs once, and as often with the one as with the other in front
+    once = F.when(F.col("a_pack") == F.col("b_pack"), True).otherwise((F.col("a_pack") < F.col("b_pack")) == ((F.col("a_pack") + F.col("b_pack")) % 2 == 0))
+    met = a.hint("shuffle_replicate_nl").join(b, (F.col("a_d") == F.col("b_d")) & once & ~one_core & reach)
+    met = met.select(F.col("a_d").alias("d"), (F.col("a_pack") == F.col("b_pack")).alias("inside"), *(f"{side}_{c}" for side in "ab" for c in ("centre", "spread", "ids", "vectors")))
+    found = met.mapInArrow(compare, _FOUND)
+    return common.checkpointed(found.unionByName(packs.where("core").select("d", "cell", "ids").mapInArrow(inside_core, _FOUND)))
+
+
+def near_vectors(vectors: DataFrame, threshold: float = COSINE, tile: int | None = None, embedding: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept of every row.
 
     Null, zero and non-finite vectors link with nothing; rows without an id too, and have a null component and are kept.
-    Rows with the same id are one vector. Vectors of each length are compared with each other, one length after another.
-    Ties at the threshold link; the threshold is above 0 and at most 1. An empty table gives no rows; other columns aren't
-    read.
+    Rows with the same id are one vector. Vectors are compared with those of the same length. Ties at the threshold link;
+    the threshold is above 0 and at most 1. An empty table gives no rows; other columns aren't read. `tile` is the number
+    of vectors in a pack, by itself it follows the table's size.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the triangle inequality bounds angles below a right one, so the threshold has to be above 0")
-    fine = common.checkpointed(usable(vectors, embedding))
-    found = fine.select("vec_id", F.lit(0).cast("long").alias("n"), F.col("vec_id").alias("to")).limit(0)
-    for r in sorted(fine.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()):  # a row for each length
-        found = found.unionByName(_found(fine.where(F.size("v") == r["d"]), r["n"], threshold, tile))
+    found = _found(usable(vectors, embedding), threshold, tile)
     n_links = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("to").alias("b"))).select(F.col("id").alias("vec_id"), "component")
     out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(n_links, "vec_id", "left").join(joined, "vec_id", "left")

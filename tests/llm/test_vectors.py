@@ -35,6 +35,49 @@ def test_links_and_components(spark, points, tile):
     assert near.sum() > 1000
 
 
+def stages(spark):
+    """Shuffled rows by stage, of the latest stages."""
+    gateway = spark.sparkContext._gateway
+    none = gateway.jvm.java.util.ArrayList()
+    found = spark.sparkContext._jsc.sc().statusStore().stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+    return {(s := found.apply(k)).stageId(): s.shuffleWriteRecords() for k in range(found.size())}
+
+
+def test_no_vector_is_copied_for_each_tile(spark):
+    df = table(spark, np.random.default_rng(9).standard_normal((1500, 24)))
+    before = max(stages(spark), default=-1)
+    assert len(metric_join.near_vectors(df, tile=24).collect()) == 1500
+    assert 1500 <= sum(n for k, n in stages(spark).items() if k > before) < 12 * 1500  # 86,629 when each of 62 tiles had copies
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_long_vectors_near_the_threshold_and_of_two_lengths(spark, kind):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((700, 64))
+    dense = rng.standard_normal(64) + 0.2 * rng.standard_normal((300, 64))  # about as many pairs on either side of 0.9 as make a block dense
+    u = x[:200] / np.linalg.norm(x[:200], axis=1, keepdims=True)
+    v = rng.standard_normal((200, 64))
+    v -= (v * u).sum(1, keepdims=True) * u
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    c = 0.9 + np.linspace(-1e-4, 1e-4, 200)[:, None]
+    sets = [np.concatenate([x, dense, 0.3 * dense + 0.7 * dense[0], c * u + np.sqrt(1 - c * c) * v]), rng.standard_normal((40, 3)) + [2, 0, 0]]
+    if kind == "float":
+        sets = [y.astype(np.float32).astype(float) for y in sets]
+    want, first = {}, 0
+    for y in sets:
+        n = y / np.linalg.norm(y, axis=1, keepdims=True)
+        near = n @ n.T >= 0.9
+        np.fill_diagonal(near, False)
+        u = Union(range(len(y)))
+        for a, b in zip(*np.nonzero(near), strict=True):
+            u.join(int(a), int(b))
+        want |= {first + i: (int(near[i].sum()), first + u.find(i)) for i in range(len(y))}
+        first += len(y)
+    df = spark.createDataFrame(list(enumerate(r.tolist() for y in sets for r in y)), f"vec_id long, embedding array<{kind}>").repartition(3)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in metric_join.near_vectors(df, tile=150).collect()}
+    assert got == want
+
+
 def test_vectors_that_cannot_be_compared(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 4.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [1.0, None]), (None, [1.0, 2.0]), (6, [2.0, 4.0]), (6, [2.0, 4.0]), (7, []), (8, [1.0, 2.0, 3.0])], "vec_id long, embedding array<float>")
     got = [(r["vec_id"], r["n_links"], r["component_id"]) for r in metric_join.near_vectors(df).collect()]
