@@ -68,6 +68,20 @@ def checkpointed(df: DataFrame, file_rows: int = 0) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """What runs inside has this value of a session setting; afterwards it is as before."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark give up what finished steps left: shuffle and checkpoint files on disk, broadcasts and compiled plans in memory.
 

@@ -32,9 +32,10 @@ COSINE = 0.9
 #: Bounds of the sample that pivots come from, and of the pivots.
 SAMPLE, PIVOTS = 2048, 512
 #: Vectors in a pack: a table has about PACKS packs, of TILE vectors at least; more only once a pack has PACK_BYTES.
-TILE, PACKS, PACK_BYTES = 4096, 32, 16 << 20
-#: Pack files at most, when there are more packs a file has several.
-FILES = 512
+TILE, PACKS, PACK_BYTES = 4096, 32, 4 << 20
+#: Pack files at most, when there are more packs a file has several. Either side of the product has at most SIDE partitions,
+#: or more once a partition has SIDE_PACKS packs, since the product of both numbers is that of its tasks.
+FILES, SIDE, SIDE_PACKS = 512, 128, 8
 #: A core of less than a pack over CORE is compared like the rest of its cell.
 CORE = 8
 #: Rows and columns that are multiplied at once, and links that are held before they are merged.
@@ -191,8 +192,8 @@ def _cells(fine: DataFrame, radius: float, tile: int | None) -> tuple[dict, dict
     return pivots, axes, full
 
 
-def _packed(fine: DataFrame, radius: float, tile: int | None) -> tuple[DataFrame, dict]:
-    """Packs (pack, d, cell, core, n, least, centre, spread, ids, vectors), written, and the leading axes by length."""
+def _packed(fine: DataFrame, radius: float, tile: int | None) -> tuple[DataFrame, dict, int]:
+    """Packs (pack, d, cell, core, n, least, centre, spread, ids, vectors), written, the leading axes by length and how many packs there may be."""
     pivots, axes, full = _cells(fine, radius, tile)
 
     def place(d: int, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +246,7 @@ def _packed(fine: DataFrame, radius: float, tile: int | None) -> tuple[DataFrame
 
     dealt = one_each(fine).mapInArrow(deal, fine.schema.simpleString().replace("struct<", "struct<pack:bigint,"))
     packs = dealt.groupBy("pack").applyInArrow(pack, _PACK)
-    return common.checkpointed(packs, max(1, len(names) // FILES)), axes
+    return common.checkpointed(packs, max(1, len(names) // FILES)), axes, len(names)
 
 
 _PACK = "pack long, d int, cell int, core boolean, n long, least long, centre array<double>, spread double, ids binary, vectors binary"
@@ -266,7 +267,7 @@ def _between(a: Column, b: Column) -> Column:
 def _found(fine: DataFrame, threshold: float, tile: int | None) -> DataFrame:
     """(vec_id, n, to): numbers of links and spanning forests, by pairs of packs."""
     radius = float(np.arccos(threshold))
-    packs, axes = _packed(fine, radius, tile)
+    packs, axes, n_packs = _packed(fine, radius, tile)
     double = fine.schema["v"].dataType.simpleString() != "array<float>"
 
     def compare(batches):
@@ -279,7 +280,7 @@ def _found(fine: DataFrame, threshold: float, tile: int | None) -> DataFrame:
                     u = unit(v)
                     near = u @ r[f"{of}_centre"].values.to_numpy() >= np.cos(min(np.pi, r[f"{of}_spread"].as_py() + radius + _SLACK)) - _SLACK
                     ids.append(np.frombuffer(r[f"{side}_ids"].as_buffer(), np.int64)[near])
-                    x.append(u[near])
+                    x.append(u if near.all() else u[near])
                     if r["inside"].as_py():
                         break
                 if r["inside"].as_py():
@@ -303,7 +304,8 @@ def _found(fine: DataFrame, threshold: float, tile: int | None) -> DataFrame:
                     yield _links_of(ids, np.full(len(ids), n - 1), np.full(len(ids), least))
 
     columns = ("pack", "d", "cell", "core", "centre", "spread", "ids", "vectors")
-    a, b = (packs.select(*(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in "ab")
+    parts = max(SIDE, n_packs // SIDE_PACKS)
+    a, b = (packs.select(*(F.col(c).alias(f"{side}_{c}") for c in columns)).coalesce(parts) for side in "ab")
     one_core = F.col("a_core") & F.col("b_core") & (F.col("a_cell") == F.col("b_cell"))
     reach = _between(F.col("a_centre"), F.col("b_centre")) <= F.col("a_spread") + F.col("b_spread") + F.lit(radius + 4 * _SLACK)
     # each pair of packs once, and as often with the one as with the other in front
@@ -311,7 +313,8 @@ def _found(fine: DataFrame, threshold: float, tile: int | None) -> DataFrame:
     met = a.hint("shuffle_replicate_nl").join(b, (F.col("a_d") == F.col("b_d")) & once & ~one_core & reach)
     met = met.select(F.col("a_d").alias("d"), (F.col("a_pack") == F.col("b_pack")).alias("inside"), *(f"{side}_{c}" for side in "ab" for c in ("centre", "spread", "ids", "vectors")))
     found = met.mapInArrow(compare, _FOUND)
-    return common.checkpointed(found.unionByName(packs.where("core").select("d", "cell", "ids").mapInArrow(inside_core, _FOUND)))
+    with common.setting(fine.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", "4m"):  # a pair or two of packs at once, not what fills a batch
+        return common.checkpointed(found.unionByName(packs.where("core").select("d", "cell", "ids").mapInArrow(inside_core, _FOUND)))
 
 
 def near_vectors(vectors: DataFrame, threshold: float = COSINE, tile: int | None = None, embedding: str = "embedding") -> DataFrame:
