@@ -84,6 +84,15 @@ def test_every_order_and_whole_texts(spark):
     assert got == first and any(len(t or "") > 40 for t in got.values())
 
 
+def test_supplier_events_where_a_key_is_a_portals_name(spark, tmp_path):
+    """Suppliers 163 and 1163 have papers of their own, so their events have two sources, as the SQL says."""
+    spark.sql("select id as s_suppkey, concat('Supplier', id) as s_name, 1 as s_nationkey, 0.0d as s_acctbal from values (162L), (163L), (1163L) as t(id)").write.parquet(str(tmp_path / "supplier.parquet"))
+    d = duckdb.connect()
+    d.execute(f"create view supplier as select * from '{tmp_path}/supplier.parquet/*.parquet'")
+    got, want = registry.QUERIES["supplier_events"](spark, str(tmp_path)).toPandas(), d.execute(registry.ORACLES["supplier_events"]).df()
+    assert plain(got) == plain(want) and len(got) == 3
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as entry
 
