@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank, let
 from ..functions.urls import record_key
 from .dedupe import ORD, first_wins, last_wins
+from .graph import cut
+
+#: So many runs of patterns at a time are sent to where texts lie (8 bytes each).
+RUNS = 500_000
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, values: list[str], last: bool = False, ord_: str = ORD) -> DataFrame:
@@ -60,23 +66,28 @@ def substring_matches(patterns: DataFrame, texts: DataFrame, pattern: str, text:
     """Rows of patterns with the rows of texts that hold them: every word run inside a pattern also stands in such a text.
 
     Both sides are joined on runs of `width` whole words: the pattern gives one run from its inside (its first and last
-    word can be cut), so the join is by equality; what meets is checked on the texts. A text goes into that join as a
-    digest and comes back only where a run met. Patterns of fewer than width + 2 words are compared with every text and
-    have to be few.
+    word can be cut), so the join is by equality of their hashes; what meets is checked on the texts. The runs of texts
+    meet those of patterns where they lie, RUNS of the latter at a time, so only what meets is shuffled. A text goes into
+    that join as a digest and comes back only where a run met. Patterns of fewer than width + 2 words are compared with
+    every text and have to be few.
     """
     words = F.split(F.trim(F.regexp_replace(blank(pattern), r"\s+", " ")), " ")
-    runs = patterns.withColumn("_run", F.when(F.size(words) >= width + 2, F.array_join(F.slice(words, 2, width), " ")))
+    # equal patterns are looked for once
+    runs = patterns.select(pattern).distinct().withColumn("_run", F.when(F.size(words) >= width + 2, F.xxhash64(F.array_join(F.slice(words, 2, width), " "))))
 
     def windows(t: Column) -> Column:
         n = F.size(t) - (width - 1)
-        return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.concat_ws(" ", *(F.get(t, i + k) for k in range(width))))))
+        return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.xxhash64(F.concat_ws(" ", *(F.get(t, i + k) for k in range(width)))))))
 
     at = let(F.split(F.regexp_replace(blank(text), r"\s+", " "), " "), windows)
-    known = texts.withColumn("_digest", F.sha2(blank(text), 256))
-    held = known.select("_digest", F.explode(at).alias("_run")).distinct()
-    met = held.join(runs.where("_run is not null"), "_run").drop("_run")
-    long_ = known.join(met, "_digest").drop("_digest").where(F.contains(F.col(text), F.col(pattern)))
-    few = F.broadcast(runs.where("_run is null and length(trim(coalesce(" + pattern + ", ''))) > 0").drop("_run"))
+    known = texts.withColumn("_digest", F.unhex(F.sha2(blank(text), 256)))
+    held = known.select("_digest", F.explode(at).alias("_run"))
+    keys = cut(runs.where("_run is not null").select("_run").distinct())
+    parts = max(1, -(-keys.count() // RUNS))
+    near = [held.join(F.broadcast(keys.where(F.pmod("_run", F.lit(parts)) == i)), "_run", "left_semi") for i in range(parts)]
+    met = reduce(DataFrame.unionByName, near).distinct().join(runs.where("_run is not null"), "_run").drop("_run")
+    long_ = known.join(met, "_digest").drop("_digest").where(F.contains(F.col(text), F.col(pattern))).join(patterns, pattern)
+    few = F.broadcast(patterns.join(runs.where("_run is null"), pattern).where("length(trim(coalesce(" + pattern + ", ''))) > 0").drop("_run"))
     short = texts.join(few, F.contains(texts[text], few[pattern]))
     return long_.unionByName(short)
 

@@ -10,6 +10,7 @@ from dossier import lexicons as lx
 from dossier import registry
 from dossier.functions import facts as fx
 from dossier.functions import text as tx
+from dossier.operators import joins
 
 DATA = "/root/testdata/sf0.001"
 
@@ -64,3 +65,17 @@ def test_clean_lines_and_marks_are_those_of_all_patterns(spark):
     spaces = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
     kept = "".join(map(chr, [0, 8, 14, 0x85, 0x180E, 0x200B, 0x2027, 0x3001, 0x4E00, 0xFEFE])) + "a"
     assert spark.range(1).select(F.regexp_replace(F.lit(spaces + kept), tx.SPACE, "")).first()[0] == kept
+
+
+def test_only_runs_that_meet_a_pattern_are_shuffled(spark, monkeypatch):
+    """Runs of texts meet those of patterns before anything is shuffled, also in several parts, and repeated patterns keep all their rows."""
+    p = spark.createDataFrame([(i, t) for i, t in enumerate(["b c d e f", "b c d e f", "c d e f g", "not there at all here", "zz", "", None])], "i int, p string")
+    d = spark.createDataFrame([(7, "a b c d e fg h"), (8, "a b c d e fg h"), (9, "xzzy"), (10, None)], "d int, t string")
+    want = [(0, 7), (0, 8), (1, 7), (1, 8), (4, 9)]
+    for runs in (500_000, 1):
+        monkeypatch.setattr(joins, "RUNS", runs)
+        got = joins.substring_matches(p, d, "p", "t")
+        assert sorted((r["i"], r["d"]) for r in got.collect()) == want
+        lines = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        over = [[x for x in lines[:i] if "- Project" not in x and "- Filter" not in x][-1] for i, x in enumerate(lines) if "Generate explode" in x]
+        assert over and all("Join LeftSemi" in x for x in over)
