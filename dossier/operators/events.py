@@ -22,7 +22,17 @@ def party_core(c: Column) -> Column:
     return F.regexp_replace(c, PARTY_SUFFIX, "")
 
 
-def parties_meet(a: Column, b: Column, segment: int = 8, least: int = 4) -> Column:
+#: Letters of a run that two names have to share, and those of it that must not be noise.
+SEGMENT, LEAST = 8, 4
+
+
+def _cuts(c: Column, n: int) -> Column:
+    """All distinct runs of n letters; none where there are fewer."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(c) - (n - 1), F.lit(1)))
+    return F.array_distinct(F.when(F.length(c) >= n, F.transform(at, lambda i: F.substr(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>")))
+
+
+def parties_meet(a: Column, b: Column, segment: int = SEGMENT, least: int = LEAST) -> Column:
     """Whether two normalised names are the same but for a suffix, one holds the other, or they share a telling run of letters."""
 
     def meet(short: Column, long_: Column) -> Column:
@@ -39,18 +49,38 @@ def parties_meet(a: Column, b: Column, segment: int = 8, least: int = 4) -> Colu
     return (a == b) | let(party_core(a), lambda x: let(party_core(b), lambda y: by_length(x, y)))
 
 
+def names_to_compare(named: DataFrame) -> DataFrame:
+    """(a, b, kind, x, y) of names in (o, kind, v) that may be of one event.
+
+    Equal has to be a telling run of SEGMENT letters, or, where one name holds the other, the shorter one's first run: of
+    SEGMENT letters, or of LEAST where it is shorter than that.
+    """
+    named = named.where(F.col("kind").isin("parties", "products_or_batches")).withColumn("c", F.when(F.col("kind") == "parties", party_core(F.col("v"))).otherwise(F.col("v"))).where(F.length("c") >= LEAST)
+    runs = named.select("o", "kind", "v", "c", F.explode(_cuts(F.col("c"), SEGMENT)).alias("g"))
+    telling = (F.col("kind") == "parties") & (F.length(F.regexp_replace("g", PARTY_NOISE, "")) >= LEAST)
+    own = runs.where(telling).select("o", "kind", "v", "g")
+    first = runs.where(~telling & (F.col("g") == F.substr("c", F.lit(1), F.lit(SEGMENT)))).select("o", "kind", "v", "g")
+    short = named.where(F.length("c") < SEGMENT).select("o", "kind", "v", F.substr("c", F.lit(1), F.lit(LEAST)).alias("g"))
+    within = named.select("o", "kind", "v", F.explode(_cuts(F.col("c"), LEAST)).alias("g"))
+
+    def meet(left: DataFrame, right: DataFrame, ordered: bool) -> DataFrame:
+        side = F.col("l.o") < F.col("r.o") if ordered else F.col("l.o") != F.col("r.o")
+        both = left.alias("l").join(right.alias("r"), (F.col("l.kind") == F.col("r.kind")) & (F.col("l.g") == F.col("r.g")) & side)
+        return both.select(F.least("l.o", "r.o").alias("a"), F.greatest("l.o", "r.o").alias("b"), F.col("l.kind").alias("kind"), F.col("l.v").alias("x"), F.col("r.v").alias("y"))
+
+    return meet(own, own, True).unionByName(meet(first, runs.where(~telling).select("o", "kind", "v", "g"), False)).unionByName(meet(short, within, False)).distinct()
+
+
 def anchor_pairs(rows: DataFrame, ord_: str = "ord", anchors: str = "anchors") -> DataFrame:
     """(a, b, kinds) of rows a < b that share anchors: equal values, and for parties and products names that hold each other.
 
-    Names are blocked on runs of four letters, so they meet by equality before they are compared.
+    Names meet by equality before they are compared: two that share a telling run of letters on that run, and one that
+    holds another on the shorter one's first run. Short runs, which many names have, are asked for by short names only.
     """
     long_ = rows.select(F.col(ord_).alias("o"), F.explode(anchors).alias("kind", "vs")).select("o", "kind", F.explode("vs").alias("v"))
     equal = long_.alias("l").join(long_.alias("r"), (F.col("l.kind") == F.col("r.kind")) & (F.col("l.v") == F.col("r.v")) & (F.col("l.o") < F.col("r.o")))
     exact = equal.select(F.col("l.o").alias("a"), F.col("r.o").alias("b"), F.col("l.kind").alias("kind"))
-    names = long_.where(F.col("kind").isin("parties", "products_or_batches") & (F.length("v") >= 4))
-    grams = names.select("o", "kind", "v", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("v") - 3), lambda i: F.substr(F.col("v"), i, F.lit(4))))).alias("g"))
-    met = grams.alias("l").join(grams.alias("r"), (F.col("l.kind") == F.col("r.kind")) & (F.col("l.g") == F.col("r.g")) & (F.col("l.o") < F.col("r.o")))
-    met = met.select(F.col("l.o").alias("a"), F.col("r.o").alias("b"), F.col("l.kind").alias("kind"), F.col("l.v").alias("x"), F.col("r.v").alias("y")).distinct()
+    met = names_to_compare(long_)
     fuzzy = met.where(F.when(F.col("kind") == "parties", parties_meet(F.col("x"), F.col("y"))).otherwise(F.contains("x", F.col("y")) | F.contains("y", F.col("x"))))
     return exact.unionByName(fuzzy.select("a", "b", "kind")).groupBy("a", "b").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
 

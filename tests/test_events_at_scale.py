@@ -169,3 +169,43 @@ def test_same_events_are_those_of_the_double_loop(spark, monkeypatch):
     assert {r["ord"]: r["leader"] for r in out} == lead
     assert {r["ord"]: r["n_rows"] for r in out} == {o: sum(v == o for v in lead.values()) for o in lead}
     assert sameness.one_of_each_event(df.limit(0)).collect() == []
+
+
+def _pairs_of_anchors(rows):
+    """Every pair of rows, kind by kind, by plain Python."""
+    core = lambda v: re.sub(events.PARTY_SUFFIX, "", v)
+
+    def party(a, b):
+        s, t = sorted((core(a), core(b)), key=len)
+        told = any(len(re.sub(events.PARTY_NOISE, "", s[i : i + 8])) >= 4 and s[i : i + 8] in t for i in range(len(s) - 7))
+        return a == b or (len(s) >= 4 and s in t) or told
+
+    def met(kind, a, b):
+        if kind == "parties":
+            return party(a, b)
+        return a == b or (kind == "products_or_batches" and min(len(a), len(b)) >= 4 and (a in b or b in a))
+
+    found = {}
+    for i, x in rows:
+        for j, y in rows:
+            if i < j:
+                kinds = sorted(k for k in x if any(met(k, a, b) for a in x[k] for b in y.get(k, ())))
+                if kinds:
+                    found[i, j] = kinds
+    return found
+
+
+def test_anchor_pairs_are_those_of_comparing_all(spark):
+    rng = random.Random(8)
+    parts = ["杭州", "甲乙", "美妆", "化妆品", "品牌", "主体", "母公司", "abcd1234", "efg5", "有限公司", "股份有限公司", "公司", "丙", "商行"]
+    name = lambda: "".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))
+    rows = [(i, {"parties": [name() for _ in range(rng.randrange(3))], "products_or_batches": [name() for _ in range(rng.randrange(2))], "amounts": [str(rng.randrange(40))]}) for i in range(150)]
+    df = spark.createDataFrame(rows, "ord long, anchors map<string,array<string>>")
+    got = {(r["a"], r["b"]): r["kinds"] for r in events.anchor_pairs(df).collect()}
+    assert got == _pairs_of_anchors(rows) and any("parties" in k for k in got.values()) and any("products_or_batches" in k for k in got.values())
+
+
+def test_names_with_a_common_ending_do_not_all_meet(spark):
+    """4,000 names that end alike, as shops' names do: few share a run of eight letters, so few rows are compared."""
+    names = spark.range(4000).select(F.col("id").alias("o"), F.lit("parties").alias("kind"), F.concat(F.substring(F.md5(F.col("id").cast("string")), 1, 12), F.lit("某某商行")).alias("v"))
+    assert events.names_to_compare(names).count() < 4000  # 8 million share their last four letters
